@@ -33,6 +33,10 @@ def table(spark):
     return lambda name: spark.read.parquet(f"{SMALL}/{name}.parquet")
 
 
+def _order(row):
+    return tuple((v is not None, v) for v in row)
+
+
 def rows(df):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    """Rows as sorted tuples, nulls first."""
+    return sorted((tuple(r) for r in df.collect()), key=_order)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # index names and run names in folder names stay text
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
