@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,8 +109,17 @@ def list_indices(docs: DataFrame) -> DataFrame:
 
 
 def all_indices(*docs: DataFrame) -> DataFrame:
-    """Documents of several indices as one table; fields an index lacks are null."""
-    out = docs[0]
-    for more in docs[1:]:
-        out = out.unionByName(more, allowMissingColumns=True)
-    return out
+    """Documents of several indices as one table.
+
+    Fields an index lacks are null; a field with unlike types becomes text.
+    """
+    types: dict[str, set[str]] = {}
+    for df in docs:
+        for f in df.schema:
+            types.setdefault(f.name, set()).add(f.dataType.simpleString())
+    mixed = {name for name, kinds in types.items() if len(kinds) > 1}
+    same = [
+        df.withColumns({c: F.col(c).cast("string") for c in df.columns if c in mixed})
+        for df in docs
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), same)

@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.documents import documents
+from tidemark.operators.documents import all_indices, documents, list_indices
 from tidemark.plans import state
 from tidemark.sources.statements import (
     Statement,
@@ -36,8 +36,8 @@ def statement_documents(
     docs = documents(
         rows, spec.name, synced_at, key, spec.index or spec.name, spec.schema, spec.table
     )
-    # ids are normalised to text by now, which is also how the cursor is kept
-    return docs.withColumn("_cursor", F.col(key) if key else F.lit(None).cast("string"))
+    cursor_text = F.col(key) if key else F.lit(None)
+    return docs.withColumn("_cursor", cursor_text.cast("string"))
 
 
 def sync_report(docs: DataFrame, numeric: bool = True) -> DataFrame:
@@ -89,14 +89,22 @@ def sync_once(
     return spark.createDataFrame(results, REPORT)
 
 
-def read_documents(spark: SparkSession, target: str) -> DataFrame:
-    """All documents, the latest run of each id."""
-    docs = spark.read.option("mergeSchema", "true").parquet(f"{target}/documents")
+def read_index(spark: SparkSession, target: str, index: str) -> DataFrame:
+    """The documents of one index, the latest run of each id."""
+    root = f"{target}/documents"
+    reader = spark.read.option("mergeSchema", "true").option("basePath", root)
+    docs = reader.parquet(f"{root}/_run=*/_index={index}")
     rest = [c for c in docs.columns if c not in ("_index", "_id", "_run", "_cursor")]
     row = F.max_by(F.struct(*rest), F.struct("_sync_timestamp", "_run")).alias("r")
     return docs.groupBy("_index", "_id").agg(row).select("_index", "_id", "r.*")
 
 
+def read_documents(spark: SparkSession, target: str) -> DataFrame:
+    """The documents of all indices. Their names come from folder names alone."""
+    names = list_indices(spark.read.parquet(f"{target}/documents")).collect()
+    return all_indices(*[read_index(spark, target, r[0]) for r in sorted(names)])
+
+
 def sync_group(
     spark: SparkSession, group: str, specs: list[Statement], target: str, synced_at: str
 ) -> DataFrame:

@@ -15,7 +15,7 @@ DATUM = (
     T.StructType()
     .add("column_name", "string")
     .add("column_type", "long")
-    .add("datum_int32", "int")
+    .add("datum_int32", "integer")
     .add("datum_int64", "long")
     .add("datum_float", "float")
     .add("datum_double", "double")
@@ -31,10 +31,10 @@ LOG_SCHEMA = (
     T.StructType()
     .add("seq", "long")
     .add("lsn", "long")
-    .add("transaction_id", "int")
+    .add("transaction_id", "integer")
     .add("commit_time", "long")
     .add("table", "string")
-    .add("op", "int")
+    .add("op", "integer")
     .add("new_tuple", T.ArrayType(DATUM))
     .add("old_tuple", T.ArrayType(DATUM))
     .add("new_typeinfo", T.ArrayType(TYPE_INFO))
