@@ -277,36 +277,26 @@ def timetz_utc(text: Column) -> Column:
     )
 
 
-def _era_date(text: Column, pattern: str, era_group: int) -> Column:
-    year = _part(text, pattern, 1).cast("int")
-    bc = F.regexp_extract(text, pattern, era_group) == "BC"
-    return F.make_date(
-        F.when(bc, 1 - year).otherwise(year),
-        _part(text, pattern, 2).cast("int"),
-        _part(text, pattern, 3).cast("int"),
-    )
+def _plain_era(text: Column) -> Column:
+    """The text without its era: the year before 1 AD is 0, the one before that -1."""
+    year = F.regexp_extract(text, r"^(\d+)-", 1).try_cast("int") - 1
+    rest = F.regexp_extract(text, r"^\d+(-.*) BC$", 1)
+    return F.when(
+        text.endswith(" BC"), F.concat(F.lit("-"), F.lpad(year.cast("string"), 4, "0"), rest)
+    ).otherwise(F.regexp_replace(text, " AD$", ""))
 
 
 def date(text: Column, epoch_day: Column | None = None) -> Column:
     """Date text with an optional era, or days since 1970."""
-    read = F.when(text.rlike(DATE_TEXT), _era_date(text, DATE_TEXT, 4))
+    read = F.when(text.rlike(DATE_TEXT), _plain_era(text).try_cast("date"))
     if epoch_day is None:
         return read
     return F.coalesce(F.date_from_unix_date(epoch_day.cast("int")), read)
 
 
-def _timestamp_text_micros(text: Column) -> Column:
-    day = F.unix_date(_era_date(text, TIMESTAMP_TEXT, 12)).cast("long")
-    clock = _clock_micros(text, TIMESTAMP_TEXT, 4)
-    return F.when(
-        text.rlike(TIMESTAMP_TEXT),
-        day * DAY_MICROS + clock - _offset_micros(text, TIMESTAMP_TEXT, 8),
-    )
-
-
 def timestamp(text: Column, micros: Column | None = None) -> Column:
     """Timestamp text (era and offset optional) or micros; null for the infinities."""
-    read = F.timestamp_micros(_timestamp_text_micros(text))
+    read = F.when(text.rlike(TIMESTAMP_TEXT), _plain_era(text).try_cast("timestamp"))
     if micros is None:
         return read
     inside = (micros < F.lit(TIMESTAMP_MAX)) & (micros >= F.lit(TIMESTAMP_MIN))
@@ -499,11 +489,15 @@ def from_text(kind: str, text: Column, options: dict | None = None) -> Column:
     return rules.get(kind, lambda: text)()
 
 
+def datum_text(d: Column) -> Column:
+    return F.coalesce(d["datum_string"], F.decode(d["datum_bytes"], "UTF-8"))
+
+
 def from_datum(kind: str, d: Column, options: dict | None = None) -> Column:
     """The rule for a tagged value of the log: its tag first, else its text."""
     o = options or {}
     kind = TYPE_ALIASES.get(kind, kind)
-    text = F.coalesce(d["datum_string"], F.decode(d["datum_bytes"], "UTF-8"))
+    text = datum_text(d)
     tagged: dict[str, Callable[[], Column]] = {
         "bool": lambda: boolean(text, d["datum_bool"]),
         "int2": lambda: number(text, "int2", d["datum_int32"]),

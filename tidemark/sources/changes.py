@@ -78,6 +78,15 @@ def supported(log: DataFrame) -> DataFrame:
     return log.filter(F.col("op").isin(list(OPS)) & (~F.col("op").isin(0, 1) | filled))
 
 
+def marker(name: str, undelivered: bool) -> Column:
+    """Whether the log did not repeat the value of a column."""
+    missing = F.coalesce(F.col(f"_n_{name}")["datum_missing"], F.lit(False))
+    if undelivered:
+        absent = F.col("_new").isNotNull() & ~F.map_contains_key(F.col("_new"), F.lit(name))
+        missing = missing | F.coalesce(absent, F.lit(False))
+    return missing
+
+
 def decode_changes(
     log: DataFrame,
     columns: dict[str, str],
@@ -94,40 +103,43 @@ def decode_changes(
     Everything happens within a row, so there is no shuffle and no explode.
     """
     named = lambda x: F.struct(V.identifier(x["column_name"]), x)
-    found = log.withColumns(
+    maps = log.withColumns(
         {
             "_new": F.map_from_entries(F.transform("new_tuple", named)),
             "_old": F.map_from_entries(F.transform("old_tuple", named)),
             "op": op_name(F.col("op")),
         }
     )
-
-    def read(source: str, name: str) -> Column:
-        datum = F.col(source)[name]
-        value = V.from_datum(columns[name], datum, options)
-        if not strict:
-            return value
-        text = F.coalesce(datum["datum_string"], F.decode(datum["datum_bytes"], "UTF-8"))
-        # a boolean reads any text, and a type without a rule may be left out
-        if V.TYPE_ALIASES.get(columns[name], columns[name]) in ("bool", "unknown"):
-            return value
-        return V.required(text, value, name)
-
-    def marker(name: str) -> Column:
-        missing = F.coalesce(F.col("_new")[name]["datum_missing"], F.lit(False))
-        if name in undelivered:
-            missing = missing | (
-                F.col("_new").isNotNull() & ~F.map_contains_key(F.col("_new"), F.lit(name))
-            )
-        return F.coalesce(missing, F.lit(False))
-
-    typed = found.withColumns(
+    # one step per level, so that no level repeats the work of the one below
+    datums = maps.withColumns(
         {
-            **{f"_after_{n}": read("_new", n) for n in columns},
-            **{f"_before_{n}": read("_old", n) for n in columns},
-            **{f"_marker_{n}": marker(n) for n in columns},
+            **{f"_n_{c}": F.col("_new")[c] for c in columns},
+            **{f"_o_{c}": F.col("_old")[c] for c in columns},
         }
     )
+    sides = {"_after_": "_n_", "_before_": "_o_"}
+    typed = datums.withColumns(
+        {
+            f"{side}{c}": V.from_datum(kind, F.col(f"{datum}{c}"), options)
+            for side, datum in sides.items()
+            for c, kind in columns.items()
+        }
+        | {f"_marker_{c}": marker(c, c in undelivered) for c in columns}
+    )
+    if strict:
+        # a boolean reads any text, and a type without a rule may be left out
+        checked = [
+            c for c, k in columns.items() if V.TYPE_ALIASES.get(k, k) not in ("bool", "unknown")
+        ]
+        typed = typed.withColumns(
+            {
+                f"{side}{c}": V.required(
+                    V.datum_text(F.col(f"{datum}{c}")), F.col(f"{side}{c}"), c
+                )
+                for side, datum in sides.items()
+                for c in checked
+            }
+        )
     after = F.struct(
         *[
             F.when(F.col(f"_marker_{n}"), F.col(f"_before_{n}"))
