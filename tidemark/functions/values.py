@@ -68,15 +68,12 @@ ARRAY_ITEM = rf"({QUOTED}|[^,{{}}]+)"
 
 def _part(text: Column, pattern: str, group: int) -> Column:
     """A matched number, 0 where the group is absent."""
-    found = F.regexp_extract(text, pattern, group)
-    return F.when(found == "", F.lit(0)).otherwise(found.cast("long")).cast("long")
+    return F.coalesce(F.regexp_extract(text, pattern, group).try_cast("bigint"), F.lit(0))
 
 
 def _fraction(digits: Column) -> Column:
     """Micros from the digits behind the point; digits past the sixth are cut."""
-    return F.when(digits == "", F.lit(0)).otherwise(
-        F.rpad(digits, 6, "0").cast("long")
-    ).cast("long")
+    return F.coalesce(F.rpad(digits, 6, "0").try_cast("bigint"), F.lit(0))
 
 
 # ---- plain scalars ------------------------------------------------------------------
@@ -184,30 +181,34 @@ def unavailable(kind: str, placeholder: str = UNAVAILABLE) -> Column:
 # ---- time ---------------------------------------------------------------------------
 
 
-def interval_parts(text: Column) -> Column:
-    """struct(years, months, days, hours, minutes, micros); absent parts are 0."""
+def _interval(text: Column) -> dict[str, Column]:
     clock = r"([-+]?\d+):(\d{2}):(\d{2})(?:\.(\d+))?"
-    sign = F.when(F.regexp_extract(text, clock, 1).startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    hours = F.regexp_extract(text, clock, 1)
+    sign = F.when(hours.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     seconds = _part(text, clock, 3) * MICROS + _fraction(F.regexp_extract(text, clock, 4))
-    return F.when(
-        F.trim(text) != "",
-        F.struct(
-            _part(text, r"([-+]?\d+)\s+years?", 1).alias("years"),
-            _part(text, r"([-+]?\d+)\s+mons?", 1).alias("months"),
-            _part(text, r"([-+]?\d+)\s+days?", 1).alias("days"),
-            _part(text, clock, 1).alias("hours"),
-            (sign * _part(text, clock, 2)).alias("minutes"),
-            (sign * seconds).alias("micros"),
-        ),
-    )
+    return {
+        "years": _part(text, r"([-+]?\d+)\s+years?", 1),
+        "months": _part(text, r"([-+]?\d+)\s+mons?", 1),
+        "days": _part(text, r"([-+]?\d+)\s+days?", 1),
+        "hours": F.coalesce(hours.try_cast("bigint"), F.lit(0)),
+        "minutes": sign * _part(text, clock, 2),
+        "micros": sign * seconds,
+    }
+
+
+def interval_parts(text: Column) -> Column:
+    """struct(years, months, days, hours, minutes, micros); absent parts are 0."""
+    parts = [value.alias(name) for name, value in _interval(text).items()]
+    return F.when(F.trim(text) != "", F.struct(*parts))
 
 
 def interval_micros(text: Column) -> Column:
     """An interval in micros, with months of average length."""
-    p = interval_parts(text)
+    p = _interval(text)
     months = p["years"] * 12 + p["months"]
     minutes = p["hours"] * 60 + p["minutes"]
-    return months * MONTH_MICROS + p["days"] * DAY_MICROS + minutes * (60 * MICROS) + p["micros"]
+    total = months * MONTH_MICROS + p["days"] * DAY_MICROS + minutes * (60 * MICROS) + p["micros"]
+    return F.when(F.trim(text) != "", total)
 
 
 def _seconds_text(micros: Column) -> Column:
@@ -222,11 +223,12 @@ def _seconds_text(micros: Column) -> Column:
 
 def interval_iso(text: Column) -> Column:
     """``P1Y2M3DT4H5M6.7S``."""
-    p = interval_parts(text)
-    return F.concat(
+    p = _interval(text)
+    iso = F.concat(
         F.lit("P"), p["years"], F.lit("Y"), p["months"], F.lit("M"), p["days"], F.lit("DT"),
         p["hours"], F.lit("H"), p["minutes"], F.lit("M"), _seconds_text(p["micros"]), F.lit("S"),
     )
+    return F.when(F.trim(text) != "", iso)
 
 
 def interval_iso_from_micros(micros: Column) -> Column:
@@ -315,30 +317,19 @@ def timestamptz_iso(text: Column, micros: Column | None = None) -> Column:
     return out.otherwise(iso_offset(timestamp(text, micros)))
 
 
-def _iso(ts: Column, fraction: Column) -> Column:
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("Z"))
-
-
 def iso_offset(ts: Column) -> Column:
     """ISO text in UTC with as many fraction digits as needed."""
-    ts = ts.cast("timestamp")
-    digits = F.rtrim(
-        F.lpad(F.pmod(F.unix_micros(ts), F.lit(MICROS)).cast("string"), 6, "0"), F.lit("0")
-    )
-    return _iso(ts, F.when(digits == "", "").otherwise(F.concat(F.lit("."), digits)))
+    text = ts.cast("timestamp").cast("string")
+    return F.concat(F.replace(text, F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def iso_instant(ts: Column) -> Column:
     """ISO text in UTC with a fraction of 0, 3 or 6 digits."""
-    ts = ts.cast("timestamp")
-    micros = F.pmod(F.unix_micros(ts), F.lit(MICROS))
-    six = F.lpad(micros.cast("string"), 6, "0")
-    fraction = (
-        F.when(micros == 0, F.lit(""))
-        .when(micros % 1000 == 0, F.concat(F.lit("."), F.substring(six, 1, 3)))
-        .otherwise(F.concat(F.lit("."), six))
-    )
-    return _iso(ts, fraction)
+    text = F.replace(ts.cast("timestamp").cast("string"), F.lit(" "), F.lit("T"))
+    point = F.instr(text, ".")
+    digits = F.when(F.length(text) - point <= 3, 3).otherwise(6)
+    padded = F.when(point == 0, text).otherwise(F.rpad(text, point + digits, F.lit("0")))
+    return F.concat(padded, F.lit("Z"))
 
 
 # ---- composed values ----------------------------------------------------------------

@@ -38,3 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
+
+
+def byte_setting(spark: SparkSession, name: str) -> int:
+    """A size setting in bytes, whatever unit it is written in."""
+    text = spark.conf.get(name).strip().lower().removesuffix("b")
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    if text[-1:] in units:
+        return int(text[:-1]) << units[text[-1]]
+    return int(text)

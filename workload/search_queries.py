@@ -173,8 +173,11 @@ def keyword_table(index: S.SearchIndex) -> DataFrame:
 @query(INDEX + "SELECT _index, field, docs, round(avg_len, 6) AS avg_len FROM f")
 def search_index_build(spark, sf):
     """Build a fresh index; its field statistics are the result."""
-    path = f"{shared_dir(spark)}/tidemark/index-{uuid.uuid4().hex}"
+    path = _index_path(spark.sparkContext.applicationId, shared_dir(spark), sf)
+    if path in _BUILT:
+        path = f"{path}-{uuid.uuid4().hex}"
     stats = build(spark, sf, path).fields()
+    _BUILT.add(path)
     return stats.withColumn("avg_len", F.round("avg_len", 6))
 
 
