@@ -7,6 +7,7 @@ that use the rules decide whether that is an error (see ``required``).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -55,6 +56,10 @@ MONTH_MICROS = 2_629_800 * MICROS
 OFFSET = r"(?:Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2}))?)?)"
 TIME_TEXT = r"^(\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,6}))?$"
 TIMETZ_TEXT = r"^(\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,6}))?" + OFFSET + "$"
+INTERVAL_TEXT = (
+    r"(?s)^(?=.*\S)(?=(?:.*?([-+]?\d+)\s+years?)?)(?=(?:.*?([-+]?\d+)\s+mons?)?)"
+    r"(?=(?:.*?([-+]?\d+)\s+days?)?)(?:.*?([-+]?\d+):(\d{2}):(\d{2})(?:\.(\d+))?)?.*$"
+)
 DATE_TEXT = r"^(\d{4,10})-(\d{2})-(\d{2})(?: (AD|BC))?$"
 TIMESTAMP_TEXT = (
     r"^(\d{4,10})-(\d{2})-(\d{2}) (\d{2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?"
@@ -66,14 +71,34 @@ HSTORE_PAIR = rf"({QUOTED}|[^\s=>,\"]+)\s*=>\s*({QUOTED}|[^\s,]+)"
 ARRAY_ITEM = rf"({QUOTED}|[^,{{}}]+)"
 
 
-def _part(text: Column, pattern: str, group: int) -> Column:
-    """A matched number, 0 where the group is absent."""
-    return F.coalesce(F.regexp_extract(text, pattern, group).try_cast("bigint"), F.lit(0))
+#: stands between the groups of a match; no source text holds it
+SEPARATOR = "\u0001"
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` or null, with the value worked out once however often it is used."""
+    return F.transform(F.array(value), lambda v: F.when(v.isNotNull(), use(v)))[0]
+
+
+def _groups(text: Column, pattern: str, use: Callable[[Callable[[int], Column]], Column]) -> Column:
+    """``use(g)``, where ``g(n)`` is the n-th group of the pattern; null where it does not match.
+
+    One replacement gives all the groups, so the text is matched once.
+    """
+    count = re.compile(pattern).groups
+    joined = F.regexp_replace(text, pattern, SEPARATOR.join(f"${i + 1}" for i in range(count)))
+    parts = _once(joined, lambda j: F.when(j.contains(SEPARATOR), F.split(j, SEPARATOR)))
+    return _once(parts, lambda p: use(lambda n: p[n - 1]))
+
+
+def _number(digits: Column) -> Column:
+    """A number, 0 where its group is absent."""
+    return F.when(digits == "", F.lit(0)).otherwise(digits.cast("bigint")).cast("bigint")
 
 
 def _fraction(digits: Column) -> Column:
     """Micros from the digits behind the point; digits past the sixth are cut."""
-    return F.coalesce(F.rpad(digits, 6, "0").try_cast("bigint"), F.lit(0))
+    return F.rpad(digits, 6, "0").cast("bigint")
 
 
 # ---- plain scalars ------------------------------------------------------------------
@@ -149,14 +174,13 @@ def numeric(text: Column, precision: int = 38, scale: int = 18, mode: str = "pre
 
 def numeric_any_scale(text: Column) -> Column:
     """A numeric without declared scale: struct(scale, unscaled) without trailing zeros."""
-    shape = r"^([+-]?\d+)(?:\.(\d*))?$"
-    whole = F.regexp_extract(text, shape, 1)
-    fraction = F.rtrim(F.regexp_extract(text, shape, 2), F.lit("0"))
-    return F.when(
-        text.rlike(shape),
-        F.struct(
-            F.length(fraction).alias("scale"),
-            F.concat(whole, fraction).try_cast("decimal(38,0)").alias("unscaled"),
+    shape = r"^([+-]?\d+)(?:\.(\d*?)0*)?$"
+    return _groups(
+        text,
+        shape,
+        lambda g: F.struct(
+            F.length(g(2)).alias("scale"),
+            F.concat(g(1), g(2)).try_cast("decimal(38,0)").alias("unscaled"),
         ),
     )
 
@@ -181,34 +205,34 @@ def unavailable(kind: str, placeholder: str = UNAVAILABLE) -> Column:
 # ---- time ---------------------------------------------------------------------------
 
 
-def _interval(text: Column) -> dict[str, Column]:
-    clock = r"([-+]?\d+):(\d{2}):(\d{2})(?:\.(\d+))?"
-    hours = F.regexp_extract(text, clock, 1)
-    sign = F.when(hours.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    seconds = _part(text, clock, 3) * MICROS + _fraction(F.regexp_extract(text, clock, 4))
-    return {
-        "years": _part(text, r"([-+]?\d+)\s+years?", 1),
-        "months": _part(text, r"([-+]?\d+)\s+mons?", 1),
-        "days": _part(text, r"([-+]?\d+)\s+days?", 1),
-        "hours": F.coalesce(hours.try_cast("bigint"), F.lit(0)),
-        "minutes": sign * _part(text, clock, 2),
-        "micros": sign * seconds,
-    }
-
-
 def interval_parts(text: Column) -> Column:
     """struct(years, months, days, hours, minutes, micros); absent parts are 0."""
-    parts = [value.alias(name) for name, value in _interval(text).items()]
-    return F.when(F.trim(text) != "", F.struct(*parts))
+
+    def parts(g: Callable[[int], Column]) -> Column:
+        sign = F.when(g(4).startswith("-"), -1).otherwise(1)
+        return F.struct(
+            _number(g(1)).alias("years"),
+            _number(g(2)).alias("months"),
+            _number(g(3)).alias("days"),
+            _number(g(4)).alias("hours"),
+            (sign * _number(g(5))).alias("minutes"),
+            (sign * (_number(g(6)) * MICROS + _fraction(g(7)))).alias("micros"),
+        )
+
+    return _groups(text, INTERVAL_TEXT, parts)
 
 
 def interval_micros(text: Column) -> Column:
     """An interval in micros, with months of average length."""
-    p = _interval(text)
-    months = p["years"] * 12 + p["months"]
-    minutes = p["hours"] * 60 + p["minutes"]
-    total = months * MONTH_MICROS + p["days"] * DAY_MICROS + minutes * (60 * MICROS) + p["micros"]
-    return F.when(F.trim(text) != "", total)
+
+    def total(p: Column) -> Column:
+        months = p["years"] * 12 + p["months"]
+        minutes = p["hours"] * 60 + p["minutes"]
+        return (
+            months * MONTH_MICROS + p["days"] * DAY_MICROS + minutes * (60 * MICROS) + p["micros"]
+        )
+
+    return _once(interval_parts(text), total)
 
 
 def _seconds_text(micros: Column) -> Column:
@@ -223,40 +247,28 @@ def _seconds_text(micros: Column) -> Column:
 
 def interval_iso(text: Column) -> Column:
     """``P1Y2M3DT4H5M6.7S``."""
-    p = _interval(text)
-    iso = F.concat(
-        F.lit("P"), p["years"], F.lit("Y"), p["months"], F.lit("M"), p["days"], F.lit("DT"),
-        p["hours"], F.lit("H"), p["minutes"], F.lit("M"), _seconds_text(p["micros"]), F.lit("S"),
+    return _once(
+        interval_parts(text),
+        lambda p: F.concat(
+            F.lit("P"), p["years"], F.lit("Y"), p["months"], F.lit("M"), p["days"], F.lit("DT"),
+            p["hours"], F.lit("H"), p["minutes"], F.lit("M"), _seconds_text(p["micros"]),
+            F.lit("S"),
+        ),
     )
-    return F.when(F.trim(text) != "", iso)
 
 
 def interval_iso_from_micros(micros: Column) -> Column:
     return F.concat(F.lit("P0Y0M0DT0H0M"), _seconds_text(micros), F.lit("S"))
 
 
-def _clock_micros(text: Column, pattern: str, first: int = 1) -> Column:
-    minutes = _part(text, pattern, first) * 60 + _part(text, pattern, first + 1)
-    seconds = _part(text, pattern, first + 2) * MICROS
-    return (
-        minutes * (60 * MICROS)
-        + seconds
-        + _fraction(F.regexp_extract(text, pattern, first + 3))
-    )
-
-
-def _offset_micros(text: Column, pattern: str, first: int) -> Column:
-    size = (
-        _part(text, pattern, first + 1) * 3600
-        + _part(text, pattern, first + 2) * 60
-        + _part(text, pattern, first + 3)
-    ) * MICROS
-    return F.when(F.regexp_extract(text, pattern, first) == "-", -size).otherwise(size)
+def _clock_micros(g: Callable[[int], Column]) -> Column:
+    seconds = (_number(g(1)) * 60 + _number(g(2))) * 60 + _number(g(3))
+    return seconds * MICROS + _fraction(g(4))
 
 
 def time_micros(text: Column) -> Column:
     """Time of day in micros; ``24:00:00`` is the end of the day."""
-    return F.when(text.rlike(TIME_TEXT), _clock_micros(text, TIME_TEXT))
+    return _groups(text, TIME_TEXT, _clock_micros)
 
 
 def time_text_from_micros(micros: Column) -> Column:
@@ -272,11 +284,14 @@ def time_text_from_micros(micros: Column) -> Column:
 
 def timetz_utc(text: Column) -> Column:
     """Time with an offset, shifted to UTC: ``HH:mm:ss[.ffffff]Z``."""
-    local = _clock_micros(text, TIMETZ_TEXT) - _offset_micros(text, TIMETZ_TEXT, 5)
-    return F.when(
-        text.rlike(TIMETZ_TEXT),
-        F.concat(time_text_from_micros(F.pmod(local, F.lit(DAY_MICROS))), F.lit("Z")),
-    )
+
+    def shifted(g: Callable[[int], Column]) -> Column:
+        size = (_number(g(6)) * 3600 + _number(g(7)) * 60 + _number(g(8))) * MICROS
+        offset = F.when(g(5) == "-", -size).otherwise(size)
+        return F.pmod(_clock_micros(g) - offset, F.lit(DAY_MICROS))
+
+    local = _once(_groups(text, TIMETZ_TEXT, shifted), time_text_from_micros)
+    return F.concat(local, F.lit("Z"))
 
 
 def _plain_era(text: Column) -> Column:
@@ -368,8 +383,12 @@ def ltree_array(text: Column) -> Column:
 def point(text: Column, x: Column | None = None, y: Column | None = None) -> Column:
     """``(x,y)`` as struct(x, y)."""
     shape = r"^\s*\(?\s*([^,()\s]+)\s*,\s*([^,()\s]+)\s*\)?\s*$"
-    px = F.regexp_extract(text, shape, 1).try_cast("double")
-    py = F.regexp_extract(text, shape, 2).try_cast("double")
+    read = _groups(
+        text,
+        shape,
+        lambda g: F.struct(g(1).try_cast("double").alias("x"), g(2).try_cast("double").alias("y")),
+    )
+    px, py = read["x"], read["y"]
     if x is not None and y is not None:
         px, py = F.coalesce(x, px), F.coalesce(y, py)
     return F.when(px.isNotNull() & py.isNotNull(), F.struct(px.alias("x"), py.alias("y")))

@@ -9,6 +9,7 @@ from tidemark.functions import values as V
 from tidemark.operators import documents as D
 from tidemark.operators import sinks as S
 from tidemark.plans import state, sync
+from tidemark.plans.sizing import spread_small
 from tidemark.sources import snapshot, statements
 from tidemark.sources.statements import Statement
 from workload.fixtures import OPS, STAMP, TABLES, load, ops, views
@@ -448,7 +449,7 @@ SELECT o_orderkey,
 FROM orders WHERE o_orderkey > 0""")
 def clean_text_columns(spark, sf):
     """A table delivered as text, read back by the value rules."""
-    o = load(spark, sf, "orders").filter("o_orderkey > 0")
+    o = spread_small(load(spark, sf, "orders").filter("o_orderkey > 0"))
     price = F.format_number("o_totalprice", 2)
     odd = F.col("o_orderkey") % 2 == 1
     text = o.select(
