@@ -14,7 +14,8 @@ def log(spark, n=2000):
     return spark.range(n).select(
         ((F.col("id") * 7919) % n * 3 + 1).alias("seq"),
         F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 50).cast("long").alias("txid"),
-        F.concat(F.lit("t"), F.col("id") % 3).alias("table"),
+        # null is a table like any other
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("t"), F.col("id") % 3)).alias("table"),
         (F.col("id") % 11 == 0).alias("hit"),
     )
 

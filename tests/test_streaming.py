@@ -132,3 +132,35 @@ def test_small_change_set_leaves_the_target_unshuffled(spark, target):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BatchEvalPython" not in plan
+
+
+def test_capture_modes(spark, log, target, tmp_path):
+    log.append(random_changes(1, 30))
+    state = replay([c for c in log.rows if c[0] <= 10])
+    shape = "key int, a string, b int, big string"
+    taken = []
+
+    def snapshot():
+        taken.append(1)
+        return spark.createDataFrame(table(state), shape)
+
+    def start(mode, **options):
+        query = A.capture(spark, mode, target, snapshot, 200, log.stream, str(tmp_path / "c"), **options)
+        if query is not None:
+            query.awaitTermination()
+        return query
+
+    assert target.snapshot_state(spark) == "none"
+    target.begin_snapshot(spark)
+    assert target.snapshot_state(spark) == "unfinished"
+    with pytest.raises(ValueError):
+        start("never")
+    assert start("initial_only") is None and content(spark, target) == table(state)
+    assert target.snapshot_state(spark) == "finished" and len(taken) == 1
+    start("initial")
+    assert len(taken) == 1 and content(spark, target) == table(replay(log.rows))
+    log.append(random_changes(2, 10, 30))
+    start("never")
+    assert content(spark, target) == table(replay(log.rows))
+    start("always")
+    assert len(taken) == 2

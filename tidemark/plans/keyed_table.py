@@ -121,6 +121,22 @@ class KeyedTable:
             return from_folded(folded, keys, columns)
         return merge_folded(old, folded, keys, columns)
 
+    def begin_snapshot(self, spark: SparkSession) -> None:
+        """Note that a snapshot was begun; it is complete once ``replace`` has run."""
+        last = self.last_batch(spark)
+        self._finish(spark, ("snapshot", -1 if last is None else last, None, None, None, None))
+
+    def snapshot_state(self, spark: SparkSession) -> str:
+        """``none``, ``unfinished`` or ``finished``: what an earlier run left behind."""
+        begun = F.col("kind").isin("snapshot", "base")
+        row = self.manifest(spark).agg(
+            F.count(F.lit(1)).alias("entries"),
+            F.max_by("kind", F.when(begun, F.col("version"))).alias("last"),
+        ).first()
+        if not row.entries:
+            return "none"
+        return "unfinished" if row.last == "snapshot" else "finished"
+
     def compact(self, spark: SparkSession) -> None:
         """Write the whole table as a new base; later reads start from it."""
         self.replace(self.read(spark))

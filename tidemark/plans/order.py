@@ -100,13 +100,21 @@ def rank_in_groups(
         starts = (
             sliced.groupBy(SLICE, *cols)
             .agg(F.count(F.lit(1)).alias("_n"))
-            .select(SLICE, *cols, F.sum("_n").over(earlier).alias("_start"))
+            .select(
+                F.col(SLICE).alias("_at"),
+                *[F.col(c).alias(f"_g{i}") for i, c in enumerate(cols)],
+                F.sum("_n").over(earlier).alias("_start"),
+            )
             .filter(F.col("_start").isNotNull())
         )
+        # null is a group like any other
+        same = F.col(SLICE) == F.col("_at")
+        for i, c in enumerate(cols):
+            same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
         out = (
             out.withColumn("_place", F.row_number().over(inside))
-            .join(starts, [SLICE, *cols], "left")
+            .join(starts, same, "left")
             .withColumn(name, (F.col("_place") + F.coalesce("_start", F.lit(0))).cast("long"))
-            .drop("_place", "_start")
+            .drop("_place", *starts.columns)
         )
     return out.select(*df.columns, *groups)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import lsn as L
 from tidemark.operators.changes import skip_truncates
-from tidemark.operators.positions import stop_at
+from tidemark.operators.positions import keep_after, stop_at
 from tidemark.operators.transactions import tx_markers, tx_summary
 from tidemark.plans.keyed_table import KeyedTable
+from tidemark.plans.snapshot_modes import Plan, plan
 
 
 def apply_stream(
@@ -21,6 +22,7 @@ def apply_stream(
     decode: Callable[[DataFrame], DataFrame] = lambda df: df,
     available_now: bool = True,
     interval: str = "5 seconds",
+    after_lsn: int | None = None,
     stop_lsn: int | None = None,
     tx_path: str | None = None,
 ):
@@ -29,13 +31,15 @@ def apply_stream(
     ``decode`` turns log rows (with ``seq`` and ``lsn``) into change rows. A batch that
     is replayed after a crash finds its number in the table's manifest or overwrites its
     own folder, so nothing is applied twice. Every batch leaves a manifest row, with or
-    without changes in it. With ``stop_lsn`` rows behind the first that reaches it are
-    left out. With ``tx_path`` transaction events go there; without, BEGIN and COMMIT
+    without changes in it. Rows up to ``after_lsn`` are part of the snapshot the table
+    holds and are left out, as are rows behind the first that reaches ``stop_lsn``. With ``tx_path`` transaction events go there; without, BEGIN and COMMIT
     rows only move the position.
     """
 
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
+        if after_lsn is not None:
+            rows = keep_after(rows, after_lsn)
         if stop_lsn is not None:
             rows = rows.limit(0) if reached(spark, table, stop_lsn) else stop_at(rows, stop_lsn)
         seen = rows.agg(
@@ -93,3 +97,29 @@ def catch_up_then_snapshot(
     """Stream up to a position, then replace the table by a snapshot taken there."""
     apply_stream(stream, table, checkpoint, decode, stop_lsn=stop_lsn).awaitTermination()
     table.replace(snapshot())
+
+
+def capture(
+    spark: SparkSession,
+    mode: str,
+    table: KeyedTable,
+    snapshot: Callable[[], DataFrame],
+    snapshot_lsn: int | None,
+    stream: Callable[[], DataFrame],
+    checkpoint: str,
+    decode: Callable[[DataFrame], DataFrame] = lambda df: df,
+    custom: Callable[[str], Plan] | None = None,
+    **options,
+):
+    """Run what a snapshot mode asks for, given what an earlier run left behind.
+
+    ``snapshot`` reads the table as of ``snapshot_lsn``. Returns the stream's query, or
+    None if the mode does not stream.
+    """
+    todo = plan(mode, table.snapshot_state(spark), custom)
+    if todo.snapshot:
+        table.begin_snapshot(spark)
+        table.replace(snapshot())
+    if not todo.stream:
+        return None
+    return apply_stream(stream(), table, checkpoint, decode, after_lsn=snapshot_lsn, **options)

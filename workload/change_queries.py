@@ -392,3 +392,23 @@ SELECT CAST(0 AS BIGINT) AS batch, count(*) AS rows_in, count(DISTINCT key) AS r
 FROM chg""")
 def stream_progress(spark, sf):
     return stream.progress(spark, _streamed_table(spark, sf))
+
+
+@query(APPLY)
+def capture_initial(spark, sf):
+    """Mode initial: a snapshot as of the middle of the log, then the stream behind it."""
+    root = f"{shared_dir(spark)}/tidemark/capture-{uuid.uuid4().hex}"
+    table = KeyedTable(
+        f"{root}/table", "key long, event_type string, value double, lsn long, props string",
+        ("key",), ("props",),
+    )
+    chg = changes(spark, sf)
+    middle = chg.agg(F.expr("min(lsn) + (max(lsn) - min(lsn)) div 2")).first()[0]
+    head = chg.filter(F.col("lsn") <= middle)
+    query = stream.capture(
+        spark, "initial", table,
+        lambda: M.apply_changes(None, head, ["key"], VALUES, "seq", ["props"]),
+        middle, lambda: _event_changes(_stream(spark, sf)), f"{root}/checkpoint",
+    )
+    query.awaitTermination()
+    return table.read(spark)
