@@ -40,9 +40,14 @@ def test_run_statement(spark, people):
     sql = "SELECT * FROM people WHERE id > ? ORDER BY id LIMIT :chunkSize"
     ids = lambda s, c, **k: [r[0] for r in st.run_statement(spark, s, c, **k).collect()]
     keyed = Statement("p", sql, chunk_size=2)
-    assert ids(keyed, "9") == [10, 11, 12]
+    assert sorted(ids(keyed, "9")) == [10, 11, 12]
+    plan = st.run_statement(spark, keyed, "9")._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan
+    # an order inside parentheses belongs to the statement
+    inner = Statement("p", "SELECT id, row_number() OVER (ORDER BY id) AS n FROM people WHERE id > ? LIMIT :chunkSize")
+    assert [r.n for r in st.run_statement(spark, inner, "9").orderBy("id").collect()] == [1, 2, 3]
     assert ids(keyed, "9", one_chunk=True) == [10, 11]
-    assert ids(keyed, "") == [2, 9, 10, 11, 12]
+    assert sorted(ids(keyed, "")) == [2, 9, 10, 11, 12]
     plain = Statement("p", "SELECT * FROM people", chunk_size=2)
     assert sorted(ids(plain, "10")) == [11, 12]
     assert ids(plain, "9", one_chunk=True) == [10, 11]

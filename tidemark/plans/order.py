@@ -13,18 +13,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans.scratch import materialise
+from tidemark.plans.sizing import estimated_bytes
+from tidemark.session import byte_setting
 
 SLICE = "_slice"
 POS = "_pos"
 
 
-def sorted_slices(df: DataFrame, order: list, slices: int | None = None) -> DataFrame:
+def slice_count(df: DataFrame) -> int:
+    """Slices that keep a task within one input split, and no fewer than tasks anyhow."""
+    spark = df.sparkSession
+    split = byte_setting(spark, "spark.sql.files.maxPartitionBytes")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(tasks, estimated_bytes(df) // split)
+
+
+def sorted_slices(df: DataFrame, order: list, n: int) -> DataFrame:
     """``df`` in the total order ``order``, with its slice number and position.
 
     The copy is written down because slice numbers must stay the same for all the
     later passes. Keep ``df`` narrow: drop payload columns first.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
@@ -41,7 +50,7 @@ def sorted_slices(df: DataFrame, order: list, slices: int | None = None) -> Data
 
 def number_rows(df: DataFrame, order: list, name: str, slices: int | None = None) -> DataFrame:
     """Add the 0-based place of each row in the total order."""
-    sliced = sorted_slices(df, order, slices)
+    sliced = sorted_slices(df, order, slices or slice_count(df))
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     # one row per slice, so both the window and the broadcast are bounded by the slice count
     starts = (
@@ -58,7 +67,8 @@ def last_before(
     df: DataFrame, order: list, value: str, when: Column, name: str, slices: int | None = None
 ) -> DataFrame:
     """Add the ``value`` of the nearest earlier row for which ``when`` holds."""
-    sliced = sorted_slices(df.withColumn("_hit", when), order, slices)
+    n = slices or slice_count(df)
+    sliced = sorted_slices(df.withColumn("_hit", when), order, n)
     hit = F.when(F.col("_hit"), F.struct(F.col(value).alias("v")))
     inside = Window.partitionBy(SLICE).orderBy(POS).rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +84,7 @@ def last_before(
         .join(carried, SLICE, "left")
         .select(SLICE, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
     )
-    local = sliced.withColumn("_local", F.last(hit, ignorenulls=True).over(inside))
+    local = sliced.repartition(n, SLICE).withColumn("_local", F.last(hit, ignorenulls=True).over(inside))
     return local.join(F.broadcast(carry), SLICE).select(
         *df.columns, F.coalesce("_local", "_carry").getField("v").alias(name)
     )
@@ -88,9 +98,10 @@ def rank_in_groups(
     A group of any size is ranked in parts: by slice, plus the rows the group has in
     earlier slices.
     """
-    sliced = sorted_slices(df, order, slices)
+    n = slices or slice_count(df)
+    sliced = sorted_slices(df, order, n)
     # slices have like sizes, so this one shuffle serves the windows of all groups
-    out = sliced.repartition(F.col(SLICE))
+    out = sliced.repartition(n, SLICE)
     for name, cols in groups.items():
         inside = Window.partitionBy(SLICE, *cols).orderBy(POS)
         earlier = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,8 @@ from tidemark.functions import values as V
 from tidemark.plans.order import number_rows
 
 CHUNK_MARK = ":chunkSize"
+#: the usual end of a chunked statement; parentheses keep windows and subqueries out
+CHUNK_TAIL = re.compile(r"\s+order\s+by\s+[^()]*\blimit\s+:chunkSize\s*;?\s*$", re.IGNORECASE)
 
 
 @dataclass(frozen=True)
@@ -87,14 +90,16 @@ def run_statement(
 ) -> DataFrame:
     """The rows of a statement above its cursor.
 
-    ``?`` takes the typed cursor. The chunk mark becomes ``ALL`` when a keyed statement
-    is read to its end in one job, which gives the rows that reading chunk after chunk
-    would give; otherwise the chunk size.
+    ``?`` takes the typed cursor. A keyed statement is read to its end in one job, which
+    gives the rows that reading chunk after chunk would give; its order and limit then
+    mean nothing and are left out, so that nothing is sorted. Otherwise the chunk mark
+    becomes the chunk size.
     """
     value = cursor_value(cursor, spec.numeric)
     drain = spec.keyed and not one_chunk
     sized = not drain and spec.chunk_size > 0
-    sql = spec.sql.replace(CHUNK_MARK, str(spec.chunk_size) if sized else "ALL")
+    sql = CHUNK_TAIL.sub("", spec.sql) if drain else spec.sql
+    sql = sql.replace(CHUNK_MARK, str(spec.chunk_size) if sized else "ALL")
     bound = "?" in sql
     df = spark.sql(sql, args=[value]) if bound else spark.sql(sql)
     key = actual_column(df, spec.id_column)
