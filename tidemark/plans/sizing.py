@@ -12,12 +12,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether an input is too small to give each core a full split."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    split = byte_setting(df.sparkSession, "spark.sql.files.maxPartitionBytes")
+    return estimated_bytes(df) < cores * split
+
+
 def spread_small(df: DataFrame) -> DataFrame:
     """Deal out a small input over all cores before work that is heavy per row.
 
-    An input too small to give each core a full split may come in one partition. A
-    larger one has splits enough, and is left where it is read.
+    It may come in one partition. A larger one has splits enough, and is left where it
+    is read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    split = byte_setting(df.sparkSession, "spark.sql.files.maxPartitionBytes")
-    return df.repartition(cores) if estimated_bytes(df) < cores * split else df
+    return df.repartition(cores) if is_small(df) else df
