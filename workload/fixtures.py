@@ -48,11 +48,13 @@ UNION ALL
 SELECT max(seq) * 4 + 2, max(lsn) + 32, txid, 'commit', NULL FROM chg GROUP BY txid
 """
 
-#: mixed bulk operations over the line items
+#: mixed bulk operations over the line items; lines of an order repeat numbers, so part,
+#: supplier and quantity make their order total
 OPS = """
 SELECT 'items' AS _index,
        CAST(l_orderkey AS VARCHAR) AS _id,
-       l_linenumber * 1000000000000 + l_partkey * 1000000 + l_suppkey AS seq,
+       l_linenumber * 100000000000000000 + l_partkey * 1000000000 + l_suppkey * 100
+         + CAST(l_quantity AS BIGINT) AS seq,
        CASE WHEN l_linenumber = 1 THEN 'INDEX'
             WHEN l_linenumber % 2 = 1 AND l_returnflag = 'R' THEN 'DELETE'
             ELSE 'UPDATE' END AS op,
@@ -110,7 +112,10 @@ def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "lineitem").select(
         F.lit("items").alias("_index"),
         F.col("l_orderkey").cast("string").alias("_id"),
-        (line * F.lit(10**12) + F.col("l_partkey") * 10**6 + F.col("l_suppkey")).alias("seq"),
+        (
+            line * F.lit(10**17) + F.col("l_partkey") * F.lit(10**9) + F.col("l_suppkey") * 100
+            + F.col("l_quantity").cast("long")
+        ).alias("seq"),
         F.when(whole, "INDEX")
         .when((line % 2 == 1) & (F.col("l_returnflag") == "R"), "DELETE")
         .otherwise("UPDATE")
