@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -27,17 +28,20 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting; it gets a temporary folder
-    once per session.
+    Only a local master may run without that setting; it gets a temporary folder, one
+    per application.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def byte_setting(spark: SparkSession, name: str) -> int:
