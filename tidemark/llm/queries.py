@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import sharding, url_filter
+from tidemark.llm import ann_forest, sharding, url_filter, vafile
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -49,3 +49,25 @@ FROM cut LEFT JOIN (SELECT * FROM fit WHERE place = 1) USING (n)
 def op8_url_filter(spark, sf):
     rules = url_filter.rule_table(spark, url_filter.RULES)
     return url_filter.url_filter(table(spark, sf, "pages"), rules)
+
+
+@query()
+def op4_nearest(spark, sf):
+    return ann_forest.nearest(table(spark, sf, "embeddings"), every=100, k=10)
+
+
+@query("""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+WHERE rank <= 5
+""")
+def op10_top_products(spark, sf):
+    return vafile.top_products(table(spark, sf, "embeddings"), every=50, k=5)
