@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann_forest, sharding, url_filter, vafile
+from tidemark.llm import ann_forest, bpe, packing, sharding, url_filter, vafile
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -71,3 +71,18 @@ WHERE rank <= 5
 """)
 def op10_top_products(spark, sf):
     return vafile.top_products(table(spark, sf, "embeddings"), every=50, k=5)
+
+
+@query()
+def op3_byte_bpe(spark, sf):
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return bpe.encode_documents(table(spark, sf, "documents"), path, pattern, keep=False)
+
+
+@query()
+def op9_packing(spark, sf):
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
