@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann_forest, bpe, packing, sharding, url_filter, vafile
+from tidemark.llm import ann_forest, bpe, packing, sharding, simhash, url_filter, vafile
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -86,3 +86,8 @@ def op9_packing(spark, sf):
     import public_tokenizers
 
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op2_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
