@@ -40,6 +40,17 @@ def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.astype(np.uint64))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``materialise``, and the shuffle files of the job go as soon as the table is written."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, "false")
+    conf.set(name, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        conf.set(name, before)
+
+
 def written(spark: SparkSession, parts: Iterator[DataFrame], label: str) -> DataFrame:
     """Write one result after another to a scratch table and read them as one."""
     out = None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann_forest, bpe, packing, sharding, simhash, url_filter, vafile
+from tidemark.llm import ann_forest, bpe, packing, sharding, simhash, suffix_dedup, url_filter, vafile
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -91,3 +91,8 @@ def op9_packing(spark, sf):
 @query()
 def op2_simhash(spark, sf):
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query()
+def op1_suffix_dedup(spark, sf):
+    return suffix_dedup.dedup(table(spark, sf, "documents"), keep=False)
