@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann_forest, bpe, packing, sharding, simhash, suffix_dedup, url_filter, vafile
+from tidemark.llm import ann_forest, bpe, licenses, packing, quality, sharding, simhash, suffix_dedup, url_filter, vafile
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -96,3 +96,13 @@ def op2_simhash(spark, sf):
 @query()
 def op1_suffix_dedup(spark, sf):
     return suffix_dedup.dedup(table(spark, sf, "documents"), keep=False)
+
+
+@query()
+def op5_quality(spark, sf):
+    return quality.classify(table(spark, sf, "documents"))
+
+
+@query()
+def op6_licenses(spark, sf):
+    return licenses.scan(table(spark, sf, "documents"), licenses.TEMPLATES)

@@ -224,9 +224,10 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return arrow_map(keyed.repartition("key").sortWithinPartitions("key"), _links, "a long, b long")
 
 
-def classes(marked: DataFrame) -> DataFrame:
+def classes(marked: DataFrame, of: str = "component_id") -> DataFrame:
     """``fp, component_id`` for every fingerprint in ``marked`` (columns ``doc_id``, ``fp``).
 
+    With ``of="root"`` the smallest fingerprint stands for a class instead of its smallest id.
     Equal fingerprints are one node, so a text copied into a third of all rows is one too.
     """
     nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
@@ -234,6 +235,8 @@ def classes(marked: DataFrame) -> DataFrame:
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
+    if of == "root":
+        return rooted.select("fp", "root")
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rooted.join(lowest, "root").select("fp", "component_id")
 

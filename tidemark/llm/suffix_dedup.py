@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, stored, text_bytes
+from tidemark.llm.hashing import BASES, Hashes, batches_of, mixed
 from tidemark.plans.order import number_rows
 
 LENGTH = 100
@@ -39,51 +40,8 @@ LENGTH = 100
 GRAM = 24
 #: Distinct segments of one anchor that one task sorts.
 GROUP = 20_000
-#: Bytes hashed at once (a longer text is hashed alone), and segments sorted at once.
-CHUNK = 1 << 20
+#: Segments sorted at once.
 SORT = 6_000
-#: Odd bases of the polynomial hashes; another one is taken if a collision shows.
-BASES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
-MASK = (1 << 64) - 1
-
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    have = _POWERS.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, CHUNK + 1)
-        both = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            p = np.full(size, b, dtype=np.uint64)
-            p[0] = 1
-            both.append(np.multiply.accumulate(p))
-        have = _POWERS[base] = (both[0], both[1])
-    return have[0][:n], have[1][:n]
-
-
-class Hashes:
-    """Prefix hashes of a byte string; any substring's hash in two reads."""
-
-    def __init__(self, text: np.ndarray, base: int):
-        up, self.down = powers(len(text) + 1, base)
-        self.prefix = np.zeros(len(text) + 1, dtype=np.uint64)
-        np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[:-1], out=self.prefix[1:])
-
-    def of(self, at: np.ndarray, length) -> np.ndarray:
-        return (self.prefix[at + length] - self.prefix[at]) * self.down[at]
-
-    def every(self, length: int) -> np.ndarray:
-        n = len(self.prefix) - length
-        return (self.prefix[length:] - self.prefix[:n]) * self.down[:n]
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(32))
-    x = x * np.uint64(0xD6E8FEB86659FD93)
-    x = x ^ (x >> np.uint64(32))
-    return x * np.uint64(0xD6E8FEB86659FD93)
 
 
 def segments(text: np.ndarray, lengths: np.ndarray, length: int, gram: int):
@@ -134,18 +92,6 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray):
     return doc[first], start[first], reach[np.append(first[1:], len(doc)) - 1]
 
 
-def _batches(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``CHUNK`` bytes together."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        if held and held + len(t) > CHUNK:
-            yield start, i
-            start, held = i, 0
-        held += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _anchored(length: int, gram: int):
     """Map to ``a, c, d, s, n, o``: a batch's distinct segments; for its repeats a and c are null and n counts bytes."""
 
@@ -155,7 +101,7 @@ def _anchored(length: int, gram: int):
             texts = text_bytes(batch.column(1))
             ids = batch.column(0).to_numpy()
             found = []
-            for lo, hi in _batches(texts):
+            for lo, hi in batches_of(texts):
                 joined = b"".join(texts[lo:hi])
                 sizes = np.array([len(t) for t in texts[lo:hi]])
                 a, owner, first, last, o = segments(np.frombuffer(joined, np.uint8), sizes, length, gram)
@@ -282,7 +228,7 @@ def repeats(texts: list[bytes], group: np.ndarray, offset: np.ndarray, length: i
     key_group, key_offset = group[segment][by], (offset[segment] - window)[by]
     both = np.cumsum(np.concatenate(([0], (key_group[1:] != key_group[:-1]) | (key_offset[1:] != key_offset[:-1]))))
     joined = b"".join(texts)
-    for base in BASES:
+    for base in BASES:  # another one if a collision shows
         suffixes = Suffixes(joined, length, base)
         order = by[merge_sort(suffixes, at[by], both)]
         x, y = at[order[:-1]], at[order[1:]]
@@ -435,9 +381,9 @@ def _cut(keep: bool, names: list[str]):
                     edge = at = max(edge, end)
                 kept.append(text[at:])
                 left = b"".join(kept)
-                rows.append((len(text), removed, runs, hashlib.sha256(left).hexdigest()) + ((left,) if keep else ()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-            out = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 if keep else 4]
+                rows.append((len(text), removed, runs, hashlib.sha256(left).hexdigest()) + ((left, left.decode("utf-8", "ignore")) if keep else ()))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
+            out = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"][: 6 if keep else 4]
             columns = [pa.array([r[i] for r in rows], kinds[i]) for i in range(len(out))]
             yield pa.RecordBatch.from_arrays([*batch.columns[2:], *columns], names=[*names, *out])
 
@@ -449,7 +395,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep: bool = True, columns: lis
 
     Earlier is a smaller ``doc_id``, or the same document at an earlier start. Returns
     ``columns``, ``n_bytes, n_removed, n_spans, kept_sha256`` and with ``keep`` the
-    remaining bytes as ``kept``. A null text is empty. If ids are null or repeated, rows
+    remaining bytes as ``kept`` and, without characters cut in two, as ``kept_text``. A null text is empty. If ids are null or repeated, rows
     count in the order of id (nulls first) and text, each as a document of its own, so
     the later of two equal rows is removed. Texts shorter than ``length`` stay whole.
     Only ``text``, ``doc_id`` and ``columns`` are read. Empty input, empty result.
@@ -459,5 +405,5 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep: bool = True, columns: lis
     held = found.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("found"))
     joined = base.join(held, "d", "left").select("text", "found", *columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[2:])
-    schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep else "")
+    schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary, kept_text string" if keep else "")
     return arrow_map(joined, _cut(keep, columns), schema)
