@@ -125,12 +125,13 @@ class Labels:
 
 def estimate(v: np.ndarray, counts: np.ndarray, rounds: int = 100) -> Labels:
     """Expectation-maximisation over vote patterns and how many texts have each."""
-    labels = Labels(0.85, np.full(v.shape[1], 0.95), np.full(v.shape[1], 0.50))
+    # the start says what is known of such heuristics: they seldom fire on good texts, and on
+    # a bad text most of them see nothing
+    labels = Labels(0.85, np.full(v.shape[1], 0.99), np.full(v.shape[1], 0.60))
     for _ in range(rounds):
         p = labels.posterior(v)
         for weight, rate in ((p * counts, labels.good), (((1 - p) * counts), labels.bad)):
             yes, no = weight @ (v == 1), weight @ (v == 0)
-            # a labeller is taken to be right more often than not on texts that it calls good
             rate[:] = np.clip((yes + 1) / (yes + no + 2), 1e-3, 1 - 1e-3)
         labels.prior = float(np.clip(p @ counts / max(1, counts.sum()), 0.02, 0.98))
     return labels

@@ -361,7 +361,7 @@ def ordered(docs: DataFrame) -> DataFrame:
     twice = docs.groupBy("doc_id").count().filter("doc_id is null or count > 1").limit(1).count()
     if not twice:
         return docs.withColumn("d", F.col("doc_id").cast("long"))
-    return number_rows(docs, [F.col("doc_id").asc_nulls_first(), "text"], "d")
+    return number_rows(stored(docs, "to-number"), [F.col("doc_id").asc_nulls_first(), "text"], "d")
 
 
 def _cut(keep: bool, names: list[str]):
