@@ -120,6 +120,41 @@ def test_failed_statement_keeps_its_cursor(spark, tmp_path, people):
     assert failed.error and state.cursor_of(spark, f"{target}/state", "p") == "12"
 
 
+def test_repeats_and_alike_names_lose_nothing(spark, tmp_path, people):
+    target = str(tmp_path / "out")
+    specs = [Statement(n, f"SELECT ID, '{n}' AS n FROM people WHERE id > ?", "all") for n in ("a b", "a_b", "é", "ü")]
+    for _ in range(2):
+        sync.sync_once(spark, specs, target, "t1")
+    found = rows(sync.read_index(spark, target, "all").groupBy("n").count())
+    assert found == [("a b", 5), ("a_b", 5), ("é", 5), ("ü", 5)]
+
+
+def test_first_run_takes_all_keys_and_bad_keys_are_reported(spark, tmp_path):
+    target = str(tmp_path / "out")
+    spark.createDataFrame([("-5",), ("0",), ("7",)], "id string").createOrReplaceTempView("keys")
+    specs = [Statement("k", "SELECT id FROM keys"), Statement("b", "SELECT CAST(id AS BIGINT) AS id FROM keys WHERE id > ?")]
+    assert [r.rows for r in sync.sync_once(spark, specs, target, "t1").collect()] == [3, 3]
+    spark.createDataFrame([("9",), ("x9",)], "id string").createOrReplaceTempView("keys")
+    failed = sync.sync_once(spark, specs[:1], target, "t2").first()
+    assert "not a whole number" in failed.error and state.saved_cursor(spark, f"{target}/state", "k") == "7"
+
+
+def test_time_keys_compare_as_times(spark, tmp_path):
+    target = str(tmp_path / "out")
+    spec = Statement("t", "SELECT at FROM times WHERE at > ?", id_column="at")
+    unbound = Statement("u", "SELECT at FROM times", id_column="at", id_type="text")
+    for texts, n in ((["2024-01-01 08:00:00"], 1), (["2024-01-01 08:00:00", "2024-01-01 23:00:00.000001"], 1)):
+        spark.createDataFrame([(t,) for t in texts], "s string").selectExpr("cast(s as timestamp) at").createOrReplaceTempView("times")
+        assert [r.rows for r in sync.sync_once(spark, [spec, unbound], target, f"t{texts}").collect()] == [n, n]
+    assert state.saved_cursor(spark, f"{target}/state", "t") == "2024-01-01T23:00:00.000001Z"
+
+
+def test_literal_limit_of_a_chunk_does_not_end_the_read(spark, people):
+    read = lambda sql, n: st.run_statement(spark, Statement("p", sql, chunk_size=n)).count()
+    assert read("SELECT * FROM people WHERE id > ? ORDER BY id LIMIT 2", 2) == 5
+    assert read("SELECT * FROM people WHERE id > ? ORDER BY id LIMIT 3", 2) == 3
+
+
 def test_group(spark, tmp_path, people):
     target = str(tmp_path / "out")
     spec = Statement("p", "SELECT * FROM people WHERE id > ?")

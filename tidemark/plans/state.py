@@ -52,20 +52,23 @@ def save(spark: SparkSession, path: str, cursors: dict[str, str]) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def cursor_of(
-    spark: SparkSession, path: str, statement: str, numeric: bool = True
-) -> str:
-    """A statement's cursor: the saved text, else the saved number, else the start."""
+def saved_cursor(spark: SparkSession, path: str, statement: str) -> str | None:
+    """A statement's cursor: the saved text, else the saved number; None before its first run."""
     state = read(spark, path)
-    start = "0" if numeric else ""
-    if state is None:
-        return start
-    row = current(state).filter(F.col("statement_name") == statement).first()
+    row = None if state is None else current(state).filter(F.col("statement_name") == statement).first()
     if row is None:
-        return start
+        return None
     if row.cursor_value and row.cursor_value.strip():
         return row.cursor_value
-    return start if row.last_id is None else str(row.last_id)
+    return None if row.last_id is None else str(row.last_id)
+
+
+def cursor_of(
+    spark: SparkSession, path: str, statement: str, numeric: bool = True
+) -> str:
+    """``saved_cursor``, or the start that is shown for a statement that never ran."""
+    found = saved_cursor(spark, path, statement)
+    return ("0" if numeric else "") if found is None else found
 
 
 def clear(spark: SparkSession, path: str) -> int:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
@@ -15,7 +17,9 @@ from tidemark.sources.statements import (
     Statement,
     actual_column,
     id_key,
-    next_cursor,
+    key_kind,
+    key_text,
+    last_key,
     run_statement,
 )
 
@@ -36,8 +40,21 @@ def statement_documents(
     docs = documents(
         rows, spec.name, synced_at, key, spec.index or spec.name, spec.schema, spec.table
     )
-    cursor_text = F.col(key) if key else F.lit(None)
-    return docs.withColumn("_cursor", cursor_text.cast("string"))
+    if key is None:
+        return docs.withColumn("_cursor", F.lit(None).cast("string"))
+    # documents carry times as ISO text, which the cursor reads back as a time
+    return docs.withColumn("_cursor", key_text(key, key_kind(rows, key, spec.numeric)))
+
+
+def run_folder(target: str, statement: str, cursor: str | None, synced_at: str) -> str:
+    """Where a run's documents go: a folder for this very name, start cursor and stamp.
+
+    Once a cursor has moved, no later run can write to an earlier folder, and names that
+    look alike in a path have folders of their own.
+    """
+    exact = json.dumps([statement, cursor, synced_at])
+    stamp = re.sub("[^0-9A-Za-z]", "", synced_at)[:20]
+    return f"{target}/documents/_run={stamp}-{hashlib.sha256(exact.encode()).hexdigest()[:32]}"
 
 
 def sync_report(docs: DataFrame, numeric: bool = True) -> DataFrame:
@@ -61,22 +78,21 @@ def sync_once(
 
     Documents go to ``target/documents/_run=…/_index=…``. A statement's cursor moves
     only after its documents are written; if it fails, its cursor stays and the report
-    says why. A run that is repeated with the same ``synced_at`` replaces its documents.
+    says why. A run that is repeated with the same ``synced_at`` goes on from the cursor
+    that is saved by then; only a run that has not moved its cursor is written again in place.
     """
     state_path = f"{target}/state"
 
     def one(spec: Statement) -> tuple:
-        cursor = state.cursor_of(spark, state_path, spec.name, spec.numeric)
-        run = re.sub("[^A-Za-z0-9_-]", "_", f"{spec.name}-{synced_at}")
-        folder = f"{target}/documents/_run={run}"
         try:
+            cursor = state.saved_cursor(spark, state_path, spec.name)
+            folder = run_folder(target, spec.name, cursor, synced_at)
             docs = statement_documents(spark, spec, cursor, synced_at)
             docs.write.mode("overwrite").partitionBy("_index").parquet(folder)
             written = spark.read.schema(docs.schema).parquet(folder)
-            done = next_cursor(written, "_cursor", spec.numeric).first()
+            done = last_key(written, "_cursor", _kind(spark, spec)).first()
             moved = spec.keyed and done.id_seen
-            return (spec.name, done.rows, str(done.next_cursor) if moved else None,
-                    done.id_seen, None)
+            return (spec.name, done.rows, done.next_cursor if moved else None, done.id_seen, None)
         except Exception as error:  # one statement's failure must not stop the others
             return (spec.name, 0, None, False, str(error).splitlines()[0])
 
@@ -89,6 +105,11 @@ def sync_once(
     return spark.createDataFrame(results, REPORT)
 
 
+def _kind(spark: SparkSession, spec: Statement) -> str:
+    rows = run_statement(spark, spec)  # only analysed
+    return key_kind(rows, actual_column(rows, spec.id_column), spec.numeric)
+
+
 def read_index(spark: SparkSession, target: str, index: str) -> DataFrame:
     """The documents of one index, the latest run of each id."""
     root = f"{target}/documents"

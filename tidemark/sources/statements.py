@@ -13,7 +13,9 @@ from tidemark.plans.order import number_rows
 
 CHUNK_MARK = ":chunkSize"
 #: the usual end of a chunked statement; parentheses keep windows and subqueries out
-CHUNK_TAIL = re.compile(r"\s+order\s+by\s+[^()]*\blimit\s+:chunkSize\s*;?\s*$", re.IGNORECASE)
+CHUNK_TAIL = re.compile(r"\s+order\s+by\s+[^()]*\blimit\s+(:chunkSize|\d+)\s*;?\s*$", re.IGNORECASE)
+#: what a bound ``?`` takes on a first run: below every value that a key of the kind can have
+LOWEST = {"number": -(1 << 63), "text": "", "time": "0001-01-01T00:00:00Z"}
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,39 @@ def actual_column(df: DataFrame, name: str | None) -> str | None:
     return next((c for c in df.columns if c.lower() == name.lower()), None)
 
 
+def key_kind(df: DataFrame, column: str | None, numeric: bool) -> str:
+    """How a key is compared: as time if the column holds times, else as the statement says."""
+    kind = dict(df.dtypes).get(column, "") if column else ""
+    if kind.startswith(("timestamp", "date")):
+        return "time"
+    return "number" if numeric else "text"
+
+
+def key_column(column: str, kind: str) -> Column:
+    """The key as it is compared; a number that cannot be read stops the statement."""
+    c = F.col(column)
+    if kind == "time":
+        return c.cast("timestamp")
+    if kind == "text":
+        return c.cast("string")
+    whole = c.try_cast("bigint")
+    exact = whole.isNotNull() & (whole.cast("string") == F.trim(c.cast("string")))
+    as_number = whole.isNotNull() & (c.try_cast("decimal(38,10)") == whole)
+    fault = F.raise_error(F.concat(F.lit("key is not a whole number: "), c.cast("string")))
+    return F.when(c.isNull() | exact | as_number, whole).otherwise(fault)
+
+
+def key_text(column: str, kind: str) -> Column:
+    """The key as cursors are saved: times as ISO text in UTC."""
+    key = key_column(column, kind)
+    return timestamp_cursor(key) if kind == "time" else key.cast("string")
+
+
+def typed(cursor: str, kind: str) -> Column:
+    """A saved cursor as the type that keys are compared by."""
+    return F.lit(cursor).cast({"time": "timestamp", "text": "string", "number": "bigint"}[kind])
+
+
 def cursor_value(cursor: str | None, numeric: bool) -> int | str:
     """The typed cursor: empty is 0 or one space, an unreadable number is 0."""
     if numeric:
@@ -90,23 +125,35 @@ def run_statement(
 ) -> DataFrame:
     """The rows of a statement above its cursor.
 
-    ``?`` takes the typed cursor. A keyed statement is read to its end in one job, which
-    gives the rows that reading chunk after chunk would give; its order and limit then
-    mean nothing and are left out, so that nothing is sorted. Otherwise the chunk mark
-    becomes the chunk size.
+    ``?`` takes the typed cursor; without a cursor there is no lower bound. Keys are compared as
+    the column's own type if it holds times, else as ``id_type`` says. A key that should be a
+    number and is none stops the statement. A keyed statement is read to its end in one
+    job, which gives the rows that reading chunk after chunk would give; its order and
+    limit (the chunk mark, or a number equal to the chunk size) then mean nothing and are
+    left out, so that nothing is sorted. Otherwise the chunk mark becomes the chunk size.
     """
-    value = cursor_value(cursor, spec.numeric)
     drain = spec.keyed and not one_chunk
     sized = not drain and spec.chunk_size > 0
-    sql = CHUNK_TAIL.sub("", spec.sql) if drain else spec.sql
+    tail = CHUNK_TAIL.search(spec.sql) if drain else None
+    chunked = tail and tail.group(1).lower() in (CHUNK_MARK.lower(), str(spec.chunk_size))
+    sql = spec.sql[: tail.start()] if chunked else spec.sql
     sql = sql.replace(CHUNK_MARK, str(spec.chunk_size) if sized else "ALL")
     bound = "?" in sql
-    df = spark.sql(sql, args=[value]) if bound else spark.sql(sql)
+    kind = "number" if spec.numeric else "text"
+    if bound:
+        shape = spark.sql(sql, args=[None])  # only analysed, for the key's type
+        kind = key_kind(shape, actual_column(shape, spec.id_column), spec.numeric)
+        value = LOWEST[kind] if cursor is None else cursor
+        df = spark.sql(sql, args=[value if kind == "time" else cursor_value(value, kind == "number")])
+    else:
+        df = spark.sql(sql)
     key = actual_column(df, spec.id_column)
     if spec.keyed and key and not bound:
-        df = df.filter(id_key(key, spec.numeric) > F.lit(value))
+        kind = key_kind(df, key, spec.numeric)
+        if cursor:
+            df = df.filter(key_column(key, kind) > typed(cursor, kind))
     if sized:
-        df = df.orderBy(id_key(key, spec.numeric)).limit(spec.chunk_size) if (
+        df = df.orderBy(key_column(key, kind)).limit(spec.chunk_size) if (
             spec.keyed and key
         ) else df.limit(spec.chunk_size)
     return df
@@ -122,6 +169,17 @@ def next_cursor(df: DataFrame, id_column: str, numeric: bool = True) -> DataFram
     )
 
 
+def last_key(df: DataFrame, text_column: str, kind: str) -> DataFrame:
+    """As ``next_cursor``, for keys saved as text by ``key_text``."""
+    key = key_column(text_column, kind)
+    last = timestamp_cursor(F.max(key)) if kind == "time" else F.max(key).cast("string")
+    return df.agg(
+        last.alias("next_cursor"),
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.bool_or(key.isNotNull()), F.lit(False)).alias("id_seen"),
+    )
+
+
 def cursor_as_text(value: Column) -> Column:
     """Cursor text of a number, text or timestamp."""
     return F.coalesce(value.cast("string"), F.lit(""))

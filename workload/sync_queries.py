@@ -26,7 +26,7 @@ CUSTOMERS = Statement(
 )
 DOCS = Statement(
     "docs",
-    "SELECT lpad(CAST(doc_id AS STRING), 10, '0') AS id, lang, source FROM documents",
+    "SELECT lpad(CAST(doc_id AS STRING), 20, '0') AS id, lang, source FROM documents",
     id_type="string",
 )
 
@@ -92,26 +92,26 @@ def orders_chunk_no(spark, sf):
 
 @query("""
 SELECT id, CAST((row_number() OVER (ORDER BY id) - 1) // 64 AS BIGINT) AS chunk_no
-FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 10, '0') AS id FROM documents)""")
+FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 20, '0') AS id FROM documents)""")
 def documents_chunk_no(spark, sf):
     ids = load(spark, sf, "documents").select(
-        F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("id")
+        F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("id")
     )
     return statements.assign_chunks(ids, "id", 64)
 
 
 @query("""
-SELECT lpad(CAST(doc_id AS VARCHAR), 10, '0') AS id, lang, source, n_chars FROM documents
-WHERE lpad(CAST(doc_id AS VARCHAR), 10, '0') > '0000000005'
+SELECT lpad(CAST(doc_id AS VARCHAR), 20, '0') AS id, lang, source, n_chars FROM documents
+WHERE lpad(CAST(doc_id AS VARCHAR), 20, '0') > '00000000000000000005'
   AND CASE WHEN doc_id % 3 <> 0 THEN 'ACTIVE' ELSE 'OLD' END = 'ACTIVE'
 ORDER BY id LIMIT 100""")
 def next_chunk_text_key(spark, sf):
     keyed = load(spark, sf, "documents").select(
-        F.lpad(F.col("doc_id").cast("string"), 10, "0").alias("id"), "lang", "source", "n_chars",
+        F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("id"), "lang", "source", "n_chars",
         F.when(F.col("doc_id") % 3 != 0, "ACTIVE").otherwise("OLD").alias("status"),
     )
     active = keyed.filter("status = 'ACTIVE'").drop("status")
-    return statements.next_chunk(active, "id", "0000000005", 100)
+    return statements.next_chunk(active, "id", "00000000000000000005", 100)
 
 
 @query("""
@@ -138,8 +138,7 @@ def run_user_sql(spark, sf):
 SELECT 'orders_sync' AS _query, count(*) AS rows, CAST(max(o_orderkey) AS VARCHAR) AS next_cursor,
        true AS id_seen FROM orders WHERE o_orderkey > 1000
 UNION ALL SELECT 'customer sync', count(*), CAST(max(c_custkey) AS VARCHAR), true FROM customer
-  WHERE c_custkey > 0
-UNION ALL SELECT 'docs', count(*), max(lpad(CAST(doc_id AS VARCHAR), 10, '0')), true FROM documents""")
+UNION ALL SELECT 'docs', count(*), max(lpad(CAST(doc_id AS VARCHAR), 20, '0')), true FROM documents""")
 def statement_set_report(spark, sf):
     views(spark, sf, "orders", "customer", "documents")
     cursors = {ORDERS.name: "1000"}
@@ -154,11 +153,11 @@ def statement_set_report(spark, sf):
 
 @query(f"""
 SELECT 'orders' AS _index, 'orders_sync_' || o_orderkey AS _id, 'orders_sync' AS _query,
-       CAST(o_orderkey AS VARCHAR) AS business_key FROM orders WHERE o_orderkey > 0
+       CAST(o_orderkey AS VARCHAR) AS business_key FROM orders
 UNION ALL SELECT 'customer_index', 'customer sync_' || c_custkey, 'customer sync',
-       CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey > 0
-UNION ALL SELECT 'docs', 'docs_' || lpad(CAST(doc_id AS VARCHAR), 10, '0'), 'docs',
-       lpad(CAST(doc_id AS VARCHAR), 10, '0') FROM documents""")
+       CAST(c_custkey AS VARCHAR) FROM customer
+UNION ALL SELECT 'docs', 'docs_' || lpad(CAST(doc_id AS VARCHAR), 20, '0'), 'docs',
+       lpad(CAST(doc_id AS VARCHAR), 20, '0') FROM documents""")
 def sync_run(spark, sf):
     """A full run: written documents, then a second run that finds nothing new."""
     import uuid
@@ -177,6 +176,57 @@ def sync_run(spark, sf):
     )
 
 
+EVENTS = Statement(
+    "events by time", "SELECT event_id, ts, event_type FROM recent WHERE ts > ? ORDER BY ts LIMIT 700",
+    "events", "ts", "timestamp", chunk_size=700,
+)
+
+
+def _target(spark, name: str) -> str:
+    import uuid
+
+    from tidemark.session import shared_dir
+
+    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+
+
+@query("""
+SELECT 'a b' AS _query, '_' || o_orderkey % 7 AS mark, o_orderkey AS business_key FROM orders
+UNION ALL SELECT 'a_b', '_' || c_custkey % 7, c_custkey FROM customer""")
+def sync_repeat(spark, sf):
+    """One stamp used twice, and two names that look alike: nothing is lost."""
+    views(spark, sf, "orders", "customer")
+    target = _target(spark, "sync-repeat")
+    specs = [
+        Statement("a b", "SELECT o_orderkey AS id, '_' || o_orderkey % 7 AS mark FROM orders"),
+        Statement("a_b", "SELECT c_custkey AS id, '_' || c_custkey % 7 AS mark FROM customer"),
+    ]
+    for _ in range(2):
+        sync.sync_once(spark, specs, target, STAMP)
+    return sync.read_documents(spark, target).select("_query", "mark", F.col("id").alias("business_key"))
+
+
+@query(f"""
+SELECT event_id, {ISO.format(c='ts')} AS ts, event_type,
+       CASE WHEN event_id % 3 <> 0 OR event_id <= (SELECT max(event_id) / 2 FROM events) THEN 'first' ELSE 'second' END AS run
+FROM events
+WHERE event_id <= (SELECT max(event_id) / 2 FROM events)
+   OR ts > (SELECT max(ts) FROM events WHERE event_id <= (SELECT max(event_id) / 2 FROM events))
+""".replace("event_id % 3 <> 0 OR ", ""))
+def sync_by_time(spark, sf):
+    """Events by their time in two runs, the second above the first one's last time."""
+    events = load(spark, sf, "events")
+    half = events.agg((F.max("event_id") / 2).alias("half"))
+    target = _target(spark, "sync-by-time")
+    events.join(F.broadcast(half), F.col("event_id") <= F.col("half")).createOrReplaceTempView("recent")
+    sync.sync_once(spark, [EVENTS], target, "2024-01-01T00:00:00Z")
+    events.createOrReplaceTempView("recent")
+    sync.sync_once(spark, [EVENTS], target, "2024-01-02T00:00:00Z")
+    docs = sync.read_documents(spark, target)
+    run = F.when(F.col("_sync_timestamp") < "2024-01-02", "first").otherwise("second")
+    return docs.select("event_id", "ts", "event_type", run.alias("run"))
+
+
 @query("""
 SELECT 'cust_' || sha256('{' ||
   '"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment ||
