@@ -8,7 +8,7 @@ from test_merge import SCHEMA as CHANGES
 from test_merge import random_changes, replay, table
 from pyspark.sql import functions as F
 
-from tidemark.plans.keyed_table import KeyedTable
+from tidemark.plans.keyed_table import KeyedTable, stream_name
 from tidemark.streaming import apply as A
 
 LOG = CHANGES + ", lsn long, txid long"
@@ -68,10 +68,29 @@ def test_replay_and_crash_change_nothing(spark, log, target, tmp_path):
     target.write_batch(df(second), 0)  # a batch number the table knows is not applied again
     assert content(spark, target) == table(replay(first))
     # a crash behind the data and before the manifest leaves a folder that does not count
-    df(second).write.parquet(f"{target.path}/delta/_batch=1")
+    df(second).write.parquet(f"{target.path}/delta/{stream_name('')}-1")
     assert content(spark, target) == table(replay(first))
     target.write_batch(df(second), 1)
     assert content(spark, target) == table(replay(first + second))
+    # a stream with a checkpoint of its own counts from 0 again, and its batch is another one
+    third = random_changes(3, 40, 80)
+    target.write_batch(df(third), 0, stream="other")
+    target.write_batch(df(first), 0, stream="other")
+    assert content(spark, target) == table(replay(first + second + third))
+    target.compact(spark)
+    assert content(spark, target) == table(replay(first + second + third))
+    assert target.last_batch(spark) == 1 and target.last_batch(spark, "other") == 0
+
+
+def test_truncates_empty_the_table_if_asked(spark, log, target, tmp_path):
+    log.append(random_changes(1, 20))
+    run(log, target, tmp_path, truncates="include")
+    later = random_changes(2, 10, 22)
+    log.append([(21, None, "t", None, None, None, [])] + later)
+    run(log, target, tmp_path, truncates="include")
+    assert content(spark, target) == table(replay(later))
+    target.compact(spark)
+    assert content(spark, target) == table(replay(later))
 
 
 def test_compaction(spark, log, target, tmp_path):
@@ -119,8 +138,16 @@ def test_transaction_events(spark, log, target, tmp_path):
     assert (last.rows_in, last.rows_out, last.max_lsn) == (1, 0, 300)
 
 
-def test_confirm_position():
-    assert A.confirm_position(5, 9) == 5 and A.confirm_position(None, 9) == 9
+def test_transactions_over_batches(spark, log, target, tmp_path):
+    where = str(tmp_path / "tx")
+    log.append([(1, 1, "u", "a", 1, None, [])], [(0, None, "begin", None, None, None, [], 100, 0)])
+    run(log, target, tmp_path, tx_path=where)
+    log.append([(2, 1, "u", "a", 2, None, [])])
+    run(log, target, tmp_path, tx_path=where)
+    log.append([(3, 2, "u", "a", 3, None, [])], [(9, None, "commit", None, None, None, [], 140, 0)])
+    run(log, target, tmp_path, tx_path=where)
+    events = spark.read.parquet(where).select("id", "status", "event_count")
+    assert rows(events) == [("0", "BEGIN", None), ("0", "END", 3)]
 
 
 def test_small_change_set_leaves_the_target_unshuffled(spark, target):

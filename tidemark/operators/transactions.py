@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import lsn as L
 from tidemark.plans.order import last_before, rank_in_groups
 
-#: filtered changes in a row above which a warning is due
+# fixed value: filtered changes in a row above which a warning is due
 BACKLOG_LIMIT = 10_000
 
 
 def tx_summary(changes: DataFrame, lsn: str = "lsn") -> DataFrame:
     """First and last position and number of events of each transaction."""
     return changes.groupBy("txid").agg(
-        F.min(lsn).alias("first_lsn"),
-        F.max(lsn).alias("last_lsn"),
+        L.unrank(F.min(L.rank(F.col(lsn)))).alias("first_lsn"),
+        L.unrank(F.max(L.rank(F.col(lsn)))).alias("last_lsn"),
         F.count(F.lit(1)).alias("event_count"),
     )
 

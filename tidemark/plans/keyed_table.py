@@ -1,13 +1,15 @@
 """A keyed table kept as a base plus one folder of folded changes per batch.
 
-A batch writes only what it changed, into a folder named by its number, so writing it
-twice gives the same table. It counts once its number is in the manifest, which is
-written last. Reading folds base and batches; ``compact`` writes a new base.
-Nothing is overwritten that a reader may be reading.
+A batch writes only what it changed, into a folder named by its stream and number, so
+writing it twice gives the same table. It counts once it is in the manifest, which is
+written last. Batch numbers are told apart by stream, as each new checkpoint counts
+from 0. Reading folds the base and the batches finished after it; ``compact`` writes a new
+base. Nothing is overwritten that a reader may be reading.
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from dataclasses import dataclass
@@ -20,10 +22,15 @@ from tidemark.operators.merge import fold_changes, from_folded, merge_folded
 
 MANIFEST = (
     "kind string, batch long, folder string, version long, "
-    "rows_in long, rows_out long, max_lsn long"
+    "rows_in long, rows_out long, max_lsn long, stream string, covers long"
 )
 
 
+def stream_name(stream: str) -> str:
+    """A stream's name as part of a folder name."""
+    return hashlib.sha256(stream.encode()).hexdigest()[:16]
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     """Where a table lives and what its rows look like.
@@ -53,9 +60,14 @@ class KeyedTable:
                 raise
             return spark.createDataFrame([], MANIFEST)
 
-    def last_batch(self, spark: SparkSession) -> int | None:
-        """The last batch that is part of the table."""
-        return self.manifest(spark).agg(F.max("batch")).first()[0]
+    def last_batch(self, spark: SparkSession, stream: str = "") -> int | None:
+        """The last batch of a stream that is part of the table."""
+        own = self.manifest(spark).filter(F.coalesce("stream", F.lit("")) == stream)
+        return own.filter("kind = 'delta'").agg(F.max("batch")).first()[0]
+
+    def _version(self, spark: SparkSession) -> int:
+        """Version of the last manifest row."""
+        return self.manifest(spark).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
     def write_batch(
         self,
@@ -63,59 +75,64 @@ class KeyedTable:
         batch: int,
         rows_in: int | None = None,
         max_lsn: int | None = None,
+        stream: str = "",
+        emptied: bool = False,
     ) -> None:
-        """Fold the changes of a batch and add them, unless the table has the batch."""
+        """Fold the changes of a batch and add them, unless the table has this batch of this stream.
+
+        With ``emptied`` the table holds nothing but these changes from then on.
+        """
         spark = changes.sparkSession
-        last = self.last_batch(spark)
+        last = self.last_batch(spark, stream)
         if last is not None and batch <= last:
             return
+        covers = self._version(spark) if emptied else None
         folded = fold_changes(
             changes, list(self.keys), self.columns(spark), self.seq, list(self.large)
         )
-        folder = f"_batch={batch}"
+        folder = f"{stream_name(stream)}-{batch}"
         folded.write.mode("overwrite").parquet(f"{self.path}/delta/{folder}")
         rows_out = spark.read.parquet(f"{self.path}/delta/{folder}").count()
-        self._finish(spark, ("delta", batch, folder, rows_in, rows_out, max_lsn))
+        self._finish(spark, ("delta", batch, folder, rows_in, rows_out, max_lsn, stream, covers))
 
     def _finish(self, spark: SparkSession, entry: tuple) -> None:
         kind, batch, folder, *rest = entry
-        row = [(kind, batch, folder, time.time_ns(), *rest)]
+        row = [(kind, batch, folder, max(time.time_ns(), self._version(spark) + 1), *rest)]
         spark.createDataFrame(row, MANIFEST).coalesce(1).write.mode("append").json(
             f"{self.path}/manifest"
         )
 
-    def _state(self, spark: SparkSession):
-        base = F.max_by(
-            F.struct("batch", "folder"),
-            F.when(F.col("kind") == "base", F.struct("batch", "version")),
-        )
-        delta = F.max(F.when(F.col("kind") == "delta", F.col("batch")))
-        return self.manifest(spark).agg(base.alias("base"), delta.alias("delta")).first()
+    def _state(self, spark: SparkSession) -> tuple[str | None, list[str]]:
+        """Folder of the base, and of the batches since: a row for each batch since ``compact``."""
+        rows = self.manifest(spark).filter("kind in ('base', 'delta')")
+        start = rows.filter("covers is not null").agg(
+            F.max("covers").alias("covers"), F.max_by(F.struct("kind", "folder"), "version").alias("at")
+        ).first()
+        since = rows.filter("kind = 'delta'")
+        if start.covers is not None:
+            since = since.filter(F.col("version") > start.covers)
+        base = start.at.folder if start.at is not None and start.at.kind == "base" else None
+        return base, sorted(r[0] for r in since.select("folder").distinct().collect())
 
-    def _deltas(self, spark: SparkSession, low: int, high: int) -> DataFrame:
+    def _deltas(self, spark: SparkSession, folders: list[str]) -> DataFrame:
         shape = spark.createDataFrame([], self.schema).schema
         schema = ", ".join(
             [f"`{f.name}` {f.dataType.simpleString()}" for f in shape]
-            + ["op string", f"{self.seq} long", "_unchanged array<string>", "_batch long"]
-        )
-        return (
-            spark.read.schema(schema)
-            .parquet(f"{self.path}/delta")
-            .filter(F.col("_batch").between(low, high))
+            + ["op string", f"{self.seq} long", "_unchanged array<string>"]
         )
+        return spark.read.schema(schema).parquet(*[f"{self.path}/delta/{f}" for f in folders])
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table as of its last finished batch."""
-        found = self._state(spark)
+        base, folders = self._state(spark)
         columns, keys = self.columns(spark), list(self.keys)
-        old, first = None, 0
-        if found.base is not None:
-            first = found.base.batch + 1
-            old = spark.read.schema(self.schema).parquet(f"{self.path}/base/{found.base.folder}")
-        if found.delta is None or found.delta < first:
+        old = None
+        if base is not None:
+            old = spark.read.schema(self.schema).parquet(f"{self.path}/base/{base}")
+        if not folders:
             return spark.createDataFrame([], self.schema) if old is None else old
         folded = fold_changes(
-            self._deltas(spark, first, found.delta), keys, columns, self.seq, list(self.large)
+            self._deltas(spark, folders), keys, columns, self.seq, list(self.large)
         )
         if old is None:
             return from_folded(folded, keys, columns)
@@ -123,8 +140,7 @@ class KeyedTable:
 
     def begin_snapshot(self, spark: SparkSession) -> None:
         """Note that a snapshot was begun; it is complete once ``replace`` has run."""
-        last = self.last_batch(spark)
-        self._finish(spark, ("snapshot", -1 if last is None else last, None, None, None, None))
+        self._finish(spark, ("snapshot", *[None] * 7))
 
     def snapshot_state(self, spark: SparkSession) -> str:
         """``none``, ``unfinished`` or ``finished``: what an earlier run left behind."""
@@ -139,13 +155,13 @@ class KeyedTable:
 
     def compact(self, spark: SparkSession) -> None:
         """Write the whole table as a new base; later reads start from it."""
-        self.replace(self.read(spark))
+        covers = self._version(spark)  # before the read, so a batch that ends meanwhile stays
+        self.replace(self.read(spark), covers)
 
-    def replace(self, rows: DataFrame) -> None:
+    def replace(self, rows: DataFrame, covers: int | None = None) -> None:
         """Make ``rows`` the whole table as of the last batch, e.g. a fresh snapshot."""
         spark = rows.sparkSession
-        last = self.last_batch(spark)
-        batch = -1 if last is None else last
-        folder = f"upto={batch}-{uuid.uuid4().hex}"
+        covers = self._version(spark) if covers is None else covers
+        folder = f"upto={covers}-{uuid.uuid4().hex}"
         rows.select(*self.names(spark)).write.parquet(f"{self.path}/base/{folder}")
-        self._finish(spark, ("base", batch, folder, None, None, None))
+        self._finish(spark, ("base", None, folder, None, None, None, None, covers))

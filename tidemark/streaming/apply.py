@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions import lsn as L
 from tidemark.operators.changes import skip_truncates
 from tidemark.operators.positions import keep_after, stop_at
 from tidemark.operators.transactions import tx_markers, tx_summary
-from tidemark.plans.keyed_table import KeyedTable
+from tidemark.plans.keyed_table import KeyedTable, stream_name
 from tidemark.plans.snapshot_modes import Plan, plan
 
 
@@ -25,12 +26,15 @@ def apply_stream(
     after_lsn: int | None = None,
     stop_lsn: int | None = None,
     tx_path: str | None = None,
+    truncates: str = "skip",
 ):
     """Start the stream and return its query.
 
     ``decode`` turns log rows (with ``seq`` and ``lsn``) into change rows. A batch that
     is replayed after a crash finds its number in the table's manifest or overwrites its
-    own folder, so nothing is applied twice. Every batch leaves a manifest row, with or
+    own folder, so nothing is applied twice. Batches are known by checkpoint and number: a
+    stream with a new checkpoint adds its changes to the table. With ``truncates``
+    "include", a truncate (op ``t``) empties the table before the changes behind it. Every batch leaves a manifest row, with or
     without changes in it. Rows up to ``after_lsn`` are part of the snapshot the table
     holds and are left out, as are rows behind the first that reaches ``stop_lsn``. With ``tx_path`` transaction events go there; without, BEGIN and COMMIT
     rows only move the position.
@@ -46,9 +50,16 @@ def apply_stream(
             F.count(F.lit(1)).alias("n"), L.unrank(F.max(L.rank(F.col("lsn")))).alias("lsn")
         ).first()
         if tx_path:
-            write_transactions(rows, tx_path, number)
-        changes = skip_truncates(decode(rows)).filter(F.col("op").isin("c", "r", "u", "d"))
-        table.write_batch(changes, number, rows_in=seen.n, max_lsn=seen.lsn)
+            write_transactions(rows, tx_path, number, checkpoint)
+        changes, emptied = skip_truncates(decode(rows), truncates), False
+        if truncates == "include":
+            at = changes.filter("op = 't'").agg(F.max(table.seq)).first()[0]
+            if emptied := at is not None:
+                changes = changes.filter(F.col(table.seq) > at)
+        changes = changes.filter(F.col("op").isin("c", "r", "u", "d"))
+        table.write_batch(
+            changes, number, rows_in=seen.n, max_lsn=seen.lsn, stream=checkpoint, emptied=emptied
+        )
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
@@ -61,14 +72,30 @@ def reached(spark: SparkSession, table: KeyedTable, stop: int) -> bool:
     return bool(table.manifest(spark).agg(F.bool_or(at)).first()[0])
 
 
-def write_transactions(rows: DataFrame, path: str, number: int) -> None:
-    """BEGIN and END events of a batch; an END tells how many events it saw here."""
+def write_transactions(rows: DataFrame, path: str, number: int, stream: str = "") -> None:
+    """BEGIN and END events of a batch; an END tells how many events the transaction had.
+
+    Counts of transactions that are not ended are kept beside the events, one folder for each
+    batch, so a transaction may be cut by any number of batches, and a replayed
+    batch starts from what the one before it left.
+    """
+    spark, name = rows.sparkSession, stream_name(stream)
+    counted = "id string, event_count long"
     counts = tx_summary(rows.filter(F.col("op").isin("c", "u", "d"))).select(
         F.col("txid").cast("string").alias("id"), "event_count"
     )
+    try:
+        before = spark.read.schema(counted).parquet(f"{path}-open/{name}/{number - 1}")
+        counts = counts.unionByName(before).groupBy("id").agg(F.sum("event_count").alias("event_count"))
+    except AnalysisException as error:  # the first batch
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    markers = tx_markers(rows)
     ended = F.when(F.col("status") == "END", F.coalesce("event_count", F.lit(0)))
-    events = tx_markers(rows).join(counts, "id", "left").withColumn("event_count", ended)
-    events.write.mode("overwrite").parquet(f"{path}/_batch={number}")
+    events = markers.join(counts, "id", "left").withColumn("event_count", ended)
+    events.write.mode("overwrite").parquet(f"{path}/_stream={name}/_batch={number}")
+    still = counts.join(markers.filter("status = 'END'").select("id").distinct(), "id", "left_anti")
+    still.write.mode("overwrite").parquet(f"{path}-open/{name}/{number}")
 
 
 def progress(spark: SparkSession, table: KeyedTable) -> DataFrame:
@@ -76,16 +103,12 @@ def progress(spark: SparkSession, table: KeyedTable) -> DataFrame:
     return (
         table.manifest(spark)
         .filter("kind = 'delta'")
-        .groupBy("batch")
+        .groupBy("stream", "batch")
         .agg(*[F.max(c).alias(c) for c in ("rows_in", "rows_out", "max_lsn")])
+        .drop("stream")
     )
 
 
-def confirm_position(commit: int | None, change: int | None) -> int | None:
-    """The position that may be confirmed to the log: the commit if known."""
-    return change if commit is None else commit
-
-
 def catch_up_then_snapshot(
     stream: DataFrame,
     table: KeyedTable,

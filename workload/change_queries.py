@@ -412,3 +412,41 @@ def capture_initial(spark, sf):
     )
     query.awaitTermination()
     return table.read(spark)
+
+
+def _parts(spark, rows, order, n, root):
+    """Write ``rows`` as ``n`` files, in their order, for a stream to read one after the other."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    step = (high - low) // n + 1
+    paths = [f"{root}/part{i}" for i in range(n)]
+    for i, path in enumerate(paths):
+        part = rows.filter(F.col(order).between(low + i * step, low + (i + 1) * step - 1))
+        part.coalesce(1).write.parquet(path)
+    return paths
+
+
+@query(APPLY)
+def stream_restart(spark, sf):
+    """Two parts of the events as two streams, each with a checkpoint of its own."""
+    root = f"{shared_dir(spark)}/tidemark/restart-{uuid.uuid4().hex}"
+    table = KeyedTable(
+        f"{root}/table", "key long, event_type string, value double, lsn long, props string",
+        ("key",), ("props",),
+    )
+    events = load(spark, sf, "events")
+    for path in _parts(spark, events, "event_id", 2, root):
+        part = spark.readStream.schema(events.schema).parquet(path)
+        stream.apply_stream(_event_changes(part), table, f"{path}-checkpoint").awaitTermination()
+    return table.read(spark)
+
+
+@query(CHG + """
+SELECT CAST(txid AS VARCHAR) AS id, 'BEGIN' AS status, CAST(NULL AS BIGINT) AS event_count FROM chg GROUP BY txid
+UNION ALL SELECT CAST(txid AS VARCHAR), 'END', count(*) FROM chg GROUP BY txid""")
+def stream_transactions(spark, sf):
+    """BEGIN and END events of a log whose batches cut transactions."""
+    root = f"{shared_dir(spark)}/tidemark/transactions-{uuid.uuid4().hex}"
+    rows = log(spark, sf)
+    for number, path in enumerate(_parts(spark, rows, "seq", 4, root)):
+        stream.write_transactions(spark.read.parquet(path), f"{root}/tx", number)
+    return spark.read.parquet(f"{root}/tx").select("id", "status", "event_count")
