@@ -8,7 +8,7 @@ from tidemark import session
 
 
 def stand_in(master, folder=None, size="128MB"):
-    values = {"spark.checkpoint.dir": folder, "size": size}
+    values = {"spark.checkpoint.dir": folder, "size": size, "spark.sql.warehouse.dir": "file:/w/"}
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda name, default=None: values.get(name) or default),
         sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
@@ -20,7 +20,7 @@ def test_shared_dir():
     with pytest.raises(ValueError):
         session.shared_dir(stand_in("yarn"))
     local = stand_in("local[2]")
-    assert session.shared_dir(local) == session.shared_dir(local)
+    assert session.shared_dir(local) == "file:/w/_app-1"
 
 
 def test_byte_setting():

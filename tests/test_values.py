@@ -26,14 +26,17 @@ CASES = [
     (V.money, {"$1,234.56": Decimal("1234.56"), "-$0.05": Decimal("-0.05"),
                "($7.00)": Decimal("-7.00"), "": None, None: None}),
     (lambda c: V.numeric(c, 10, 2), {"1.50": (Decimal("1.50"), None), "NaN": (None, "NaN"),
-                                     "-Infinity": (None, "-Infinity"), None: None}),
+                                     "-Infinity": (None, "-Infinity"), None: None, "1.239": None,
+                                     "123456789.1": None, "0012345678.9900": (Decimal("12345678.99"), None),
+                                     "junk": None, "": None, ".5": (Decimal("0.50"), None)}),
+    (V.bytes_text, {"\\xDEAD": b"\xde\xad", "\\x": b"", "abc": b"abc", "\\xZZ": b"\\xZZ", None: None}),
     (V.numeric_any_scale, {"123.4500": (2, Decimal(12345)), "100": (0, Decimal(100)),
-                           "-0.10": (1, Decimal(-1)), "x": None, None: None}),
+                           "-0.10": (1, Decimal(-1)), "9" * 39: None, "x": None, None: None}),
     (V.interval_micros, {
         "1 year 2 mons 3 days 04:05:06.7":
             14 * 2629800000000 + 3 * 86400000000 + (4 * 3600 + 5 * 60 + 6) * 1000000 + 700000,
         "-00:00:01.5": -1500000, "-1 days": -86400000000, "100:00:00": 360000000000,
-        "": None, None: None}),
+        "": None, "garbage": None, "3 days junk": None, None: None}),
     (V.interval_iso, {"1 year 2 mons 3 days 04:05:06.78": "P1Y2M3DT4H5M6.78S",
                       "-01:02:03": "P0Y0M0DT-1H-2M-3S", "3 days": "P0Y0M3DT0H0M0S", "": None}),
     (V.time_micros, {"00:00:00": 0, "24:00:00": 86400000000, "23:59:59.000001": 86399000001,
@@ -57,7 +60,7 @@ CASES = [
                     'k=>v,"x y"=>"say \\"hi\\", ok"': {"k": "v", "x y": 'say "hi", ok'}, None: None}),
     (V.hstore_json, {'"a"=>"1", "b"=>NULL': '{"a":"1","b":null}', "": "{}"}),
     (V.ltree_array, {"{a.b,c}": ["a.b", "c"], None: None}),
-    (V.array, {'{1,NULL,"a,b","NULL"}': ["1", None, "a,b", "NULL"], "{}": [], None: None}),
+    (V.array, {'{1,NULL,"a,b","NULL"}': ["1", None, "a,b", "NULL"], "{}": [], "{{1,2},{3,4}}": None, '{"{",b}': ["{", "b"], None: None}),
     (lambda c: V.from_text("int4[]", c), {"{1,-2,NULL}": [1, -2, None]}),
     (lambda c: V.from_text("timestamptz[]", c),
      {'{"2020-06-01 12:00:00+02"}': ["2020-06-01T10:00:00Z"]}),

@@ -56,10 +56,10 @@ MONTH_MICROS = 2_629_800 * MICROS
 OFFSET = r"(?:Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2}))?)?)"
 TIME_TEXT = r"^(\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,6}))?$"
 TIMETZ_TEXT = r"^(\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,6}))?" + OFFSET + "$"
-INTERVAL_TEXT = (
-    r"(?s)^(?=.*\S)(?=(?:.*?([-+]?\d+)\s+years?)?)(?=(?:.*?([-+]?\d+)\s+mons?)?)"
-    r"(?=(?:.*?([-+]?\d+)\s+days?)?)(?:.*?([-+]?\d+):(\d{2}):(\d{2})(?:\.(\d+))?)?.*$"
-)
+#: as intervals are printed: years, months, days and a clock, each optional, in this order
+INTERVAL_TEXT = "^(?=.)" + "".join(
+    rf"(?:([-+]?\d+) {unit}s?(?: (?=.)|$))?" for unit in ("year", "mon", "day")
+) + r"(?:([-+]?\d+):(\d{2}):(\d{2})(?:\.(\d+))?)?$"
 DATE_TEXT = r"^(\d{4,10})-(\d{2})-(\d{2})(?: (AD|BC))?$"
 TIMESTAMP_TEXT = (
     r"^(\d{4,10})-(\d{2})-(\d{2}) (\d{2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?"
@@ -156,15 +156,18 @@ def money(text: Column | None, hundredths: Column | None = None) -> Column:
 def numeric(text: Column, precision: int = 38, scale: int = 18, mode: str = "precise") -> Column:
     """A decimal. Not-a-number and the infinities are kept.
 
-    ``precise`` gives struct(value, special); ``double`` and ``string`` one value.
+    ``precise`` gives struct(value, special); ``double`` and ``string`` one value. A number
+    is never rounded: one with more digits than the decimal holds gives null, as does
+    text that is no number, so that strict decoding stops there. ``string`` holds any number.
     """
     if mode == "double":
         return text.try_cast("double")
     if mode == "string":
         return text
     special = F.when(text.isin("NaN", "Infinity", "-Infinity"), text)
+    fits = rf"^[-+]?0*\d{{0,{precision - scale}}}(?:\.\d{{0,{scale}}}0*)?$"
     return F.when(
-        text.isNotNull(),
+        special.isNotNull() | (text.rlike(fits) & text.rlike(r"\d")),
         F.struct(
             F.when(special.isNull(), text.try_cast(f"decimal({precision},{scale})")).alias("value"),
             special.alias("special"),
@@ -175,7 +178,7 @@ def numeric(text: Column, precision: int = 38, scale: int = 18, mode: str = "pre
 def numeric_any_scale(text: Column) -> Column:
     """A numeric without declared scale: struct(scale, unscaled) without trailing zeros."""
     shape = r"^([+-]?\d+)(?:\.(\d*?)0*)?$"
-    return _groups(
+    read = _groups(
         text,
         shape,
         lambda g: F.struct(
@@ -183,6 +186,14 @@ def numeric_any_scale(text: Column) -> Column:
             F.concat(g(1), g(2)).try_cast("decimal(38,0)").alias("unscaled"),
         ),
     )
+    return F.when(read["unscaled"].isNotNull(), read)  # null over 38 digits, as in ``numeric``
+
+
+def bytes_text(text: Column) -> Column:
+    """Bytes written as text: ``\\x`` and hex digits, else the characters themselves."""
+    return F.when(
+        text.rlike(r"^\\x([0-9A-Fa-f]{2})*$"), F.unhex(F.substring(text, F.lit(3), F.length(text)))
+    ).otherwise(F.encode(text, "UTF-8"))
 
 
 def binary(value: Column, mode: str = "bytes") -> Column:
@@ -370,8 +381,9 @@ def hstore_json(text: Column) -> Column:
 
 
 def array(text: Column, element: Callable[[Column], Column] = lambda c: c) -> Column:
-    """``{a,NULL,"b,c"}`` as an array, with ``element`` applied to each item."""
-    items = F.regexp_extract_all(text, F.lit(ARRAY_ITEM), F.lit(1))
+    """``{a,NULL,"b,c"}`` as an array, with ``element`` applied to each item; null if nested."""
+    nested = F.regexp_replace(text, QUOTED, "").rlike(r"\{.*\{")
+    items = F.regexp_extract_all(F.when(~nested, text), F.lit(ARRAY_ITEM), F.lit(1))
     return F.transform(F.transform(items, lambda i: _unquote(F.trim(i))), element)
 
 
@@ -492,7 +504,7 @@ def from_text(kind: str, text: Column, options: dict | None = None) -> Column:
         "point": lambda: point(text),
         "geometry": lambda: geometry(text),
         "geography": lambda: geometry(text),
-        "bytea": lambda: binary(F.encode(text, "UTF-8"), o.get("binary_mode", "bytes")),
+        "bytea": lambda: binary(bytes_text(text), o.get("binary_mode", "bytes")),
     }
     if kind in ("int2", "int4", "int8", "oid", "float4", "float8"):
         return number(text, kind)

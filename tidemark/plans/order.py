@@ -16,6 +16,8 @@ from tidemark.plans.scratch import materialise
 from tidemark.plans.sizing import estimated_bytes
 from tidemark.session import byte_setting
 
+#: the planner takes a table of unknown size for the largest there is
+MOST_SLICES = 100_000
 SLICE = "_slice"
 POS = "_pos"
 
@@ -25,7 +27,7 @@ def slice_count(df: DataFrame) -> int:
     spark = df.sparkSession
     split = byte_setting(spark, "spark.sql.files.maxPartitionBytes")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(tasks, estimated_bytes(df) // split)
+    return min(MOST_SLICES, max(tasks, estimated_bytes(df) // split))
 
 
 def sorted_slices(df: DataFrame, order: list, n: int) -> DataFrame:
@@ -34,6 +36,9 @@ def sorted_slices(df: DataFrame, order: list, n: int) -> DataFrame:
     The copy is written down because slice numbers must stay the same for all the
     later passes. Keep ``df`` narrow: drop payload columns first.
     """
+    # rows with equal order columns would all fall into one slice; a hash of the row parts them
+    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    order = [*order, F.xxhash64(*hashable)] if hashable else order
     numbered = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import lru_cache
-
 from pyspark.sql import SparkSession
 
 #: Every rule on timestamps is stated in UTC; AQE splits skewed joins and sizes partitions.
@@ -28,20 +25,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may run without that setting; it gets a temporary folder, one
-    per application.
+    Only a local master may run without that setting; it gets a folder in the warehouse.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_dir(spark.sparkContext.applicationId)
-
-
-@lru_cache(maxsize=None)
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_{spark.sparkContext.applicationId}"
 
 
 def byte_setting(spark: SparkSession, name: str) -> int:

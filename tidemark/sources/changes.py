@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,14 +172,33 @@ def decode_changes(
 def table_changes(decoded: DataFrame, keys: list[str]) -> DataFrame:
     """Rows for ``operators.merge``: the key and the new values as plain columns.
 
-    A delete has its key in the old row only.
+    A delete has its key in the old row only. An update whose old row has another key
+    becomes a delete of that key and a create of the new one.
     """
-    fields = decoded.schema["after"].dataType.names
-    return decoded.select(
-        "seq",
-        "lsn",
-        "op",
-        *[F.coalesce(F.col("after")[k], F.col("before")[k]).alias(k) for k in keys],
-        *[F.col("after")[f].alias(f) for f in fields if f not in keys],
-        F.coalesce("_unchanged", F.array().cast("array<string>")).alias("_unchanged"),
+    fields = decoded.schema["after"].dataType
+    rest = [f for f in fields if f.name not in keys]
+    old, new = F.col("before"), F.col("after")
+
+    def row(op: Column, side: Callable[[str], Column], value: Callable, unchanged: Column) -> Column:
+        return F.struct(
+            op.alias("op"),
+            *[side(k).alias(k) for k in keys],
+            *[value(f).cast(f.dataType).alias(f.name) for f in rest],
+            unchanged.alias("_unchanged"),
+        )
+
+    none = F.array().cast("array<string>")
+    moved = F.lit(False)
+    for k in keys:
+        moved = moved | F.coalesce(old[k] != new[k], F.lit(False))
+    moved = moved & (F.col("op") == "u")
+    plain = row(
+        F.when(moved, "c").otherwise(F.col("op")),
+        lambda k: F.coalesce(new[k], old[k]),
+        lambda f: new[f.name],
+        F.coalesce("_unchanged", none),
     )
+    # a key column that the old row leaves out has not changed
+    gone = row(F.lit("d"), lambda k: F.coalesce(old[k], new[k]), lambda f: F.lit(None), none)
+    changes = F.explode(F.when(moved, F.array(gone, plain)).otherwise(F.array(plain)))
+    return decoded.select("seq", "lsn", changes.alias("r")).select("seq", "lsn", "r.*")

@@ -74,7 +74,7 @@ def clean_columns(
         if name not in types:
             return F.col(name)
         value = V.from_text(types[name], F.col(name), options)
-        if strict and types[name] not in ("bool", "interval"):
+        if strict and types[name] != "bool":
             value = V.required(F.col(name), value, name)
         return value.alias(name)
 

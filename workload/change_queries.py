@@ -450,3 +450,23 @@ def stream_transactions(spark, sf):
     for number, path in enumerate(_parts(spark, rows, "seq", 4, root)):
         stream.write_transactions(spark.read.parquet(path), f"{root}/tx", number)
     return spark.read.parquet(f"{root}/tx").select("id", "status", "event_count")
+
+
+@query(CHG + """,
+r AS (
+  SELECT seq * 2 AS seq, op, key, event_type, value FROM chg WHERE NOT (op = 'u' AND seq % 50 = 7)
+  UNION ALL SELECT seq * 2, 'd', key, NULL, NULL FROM chg WHERE op = 'u' AND seq % 50 = 7
+  UNION ALL SELECT seq * 2 + 1, 'c', key + 1000000, event_type, value FROM chg WHERE op = 'u' AND seq % 50 = 7),
+l AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS n FROM r)
+SELECT key, event_type, value FROM l WHERE n = 1 AND op <> 'd'""")
+def rekeyed_changes(spark, sf):
+    """Some updates give a row another key: the old row goes, the new one is whole."""
+    moves = (F.col("op") == 1) & (F.col("seq") % 50 == 7)
+    user = lambda d: d.withField("datum_int64", d["datum_int64"] + 1000000)
+    new = F.transform("new_tuple", lambda d: F.when(d["column_name"] == "user_id", user(d)).otherwise(d))
+    log_rows = raw_log(spark, sf)
+    log_rows = log_rows.withColumn("new_tuple", F.when(moves, new).otherwise(F.col("new_tuple")))
+    rows = table_changes(decode_changes(supported(log_rows), COLUMNS), ["user_id"])
+    rows = rows.withColumnRenamed("user_id", "key")
+    table = M.apply_changes(None, rows, ["key"], ["event_type", "value", "props"], "seq", ["props"])
+    return table.select("key", "event_type", "value")

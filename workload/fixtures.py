@@ -53,7 +53,8 @@ SELECT max(seq) * 4 + 2, max(lsn) + 32, txid, 'commit', NULL FROM chg GROUP BY t
 OPS = """
 SELECT 'items' AS _index,
        CAST(l_orderkey AS VARCHAR) AS _id,
-       l_linenumber * 100000000000000000 + l_partkey * 1000000000 + l_suppkey * 100
+       CAST(l_linenumber AS HUGEINT) * 1000000000000000000000000000000000000
+         + CAST(l_partkey AS HUGEINT) * 10000000000000000000 + l_suppkey * 100
          + CAST(l_quantity AS BIGINT) AS seq,
        CASE WHEN l_linenumber = 1 THEN 'INDEX'
             WHEN l_linenumber % 2 = 1 AND l_returnflag = 'R' THEN 'DELETE'
@@ -112,10 +113,12 @@ def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "lineitem").select(
         F.lit("items").alias("_index"),
         F.col("l_orderkey").cast("string").alias("_id"),
-        (
-            line * F.lit(10**17) + F.col("l_partkey") * F.lit(10**9) + F.col("l_suppkey") * 100
-            + F.col("l_quantity").cast("long")
-        ).alias("seq"),
+        # room for part and supplier keys below 10^17
+        F.expr(
+            "cast(cast(l_linenumber as decimal(2,0)) * 1000000000000000000000000000000000000BD as decimal(38,0))"
+            " + cast(cast(l_partkey as decimal(18,0)) * 10000000000000000000BD as decimal(38,0))"
+            " + cast(cast(l_suppkey as decimal(18,0)) * 100BD + cast(l_quantity as decimal(10,0)) as decimal(38,0))"
+        ).cast("decimal(38,0)").alias("seq"),
         F.when(whole, "INDEX")
         .when((line % 2 == 1) & (F.col("l_returnflag") == "R"), "DELETE")
         .otherwise("UPDATE")

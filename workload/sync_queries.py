@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -311,19 +313,16 @@ def row_total(spark, sf):
     return snapshot.total_rows(row_counts(spark, sf))
 
 
-@query("""
-SELECT 'region' AS "table", count(*) AS rows, 'r' AS op FROM region
-UNION ALL SELECT 'supplier', count(*), 'r' FROM supplier
-UNION ALL SELECT 'orders', count(*), 'r' FROM orders""")
+@query(" UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS rows, 'r' AS op FROM {t}""" for t in TABLES))
 def snapshot_events(spark, sf):
-    scans = snapshot.snapshot_scan({t: load(spark, sf, t) for t in ("region", "supplier", "orders")}, 7)
+    scans = snapshot.snapshot_scan({t: load(spark, sf, t) for t in TABLES}, 7)
     counts = [
         df.filter("after IS NOT NULL AND before IS NULL AND lsn = 7")
         .groupBy("table", "op")
         .agg(F.count(F.lit(1)).alias("rows"))
         for df in scans.values()
     ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return reduce(DataFrame.unionByName, counts)
 
 
 # ---- index writes -------------------------------------------------------------------
@@ -485,7 +484,7 @@ SELECT o_orderkey,
   round(CASE WHEN o_orderkey % 2 = 0 THEN -o_totalprice ELSE o_totalprice END, 2) AS money,
   o_orderkey * 86400000000 + 3723000000 + 500000 AS pause,
   o_orderkey % 2 = 1 AS flag,
-  upper(CASE WHEN o_orderkey < 256 THEN printf('%02x', o_orderkey) ELSE
+  upper(CASE WHEN o_orderkey = 0 THEN '' WHEN o_orderkey < 256 THEN printf('%02x', o_orderkey) ELSE
     printf('%02x', o_orderkey % 256) || CASE WHEN o_orderkey < 65536 THEN printf('%02x', o_orderkey // 256)
     ELSE printf('%02x', (o_orderkey // 256) % 256) || printf('%02x', o_orderkey // 65536) END END) AS bits,
   strftime(o_orderdate - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%SZ') AS zoned,
@@ -496,10 +495,10 @@ SELECT o_orderkey,
   o_orderstatus AS label,
   '{"k":"' || o_custkey || '","none":null}' AS attrs,
   o_custkey + 1 AS second_item
-FROM orders WHERE o_orderkey > 0""")
+FROM orders""")
 def clean_text_columns(spark, sf):
     """A table delivered as text, read back by the value rules."""
-    o = spread_small(load(spark, sf, "orders").filter("o_orderkey > 0"))
+    o = spread_small(load(spark, sf, "orders"))
     price = F.format_number("o_totalprice", 2)
     odd = F.col("o_orderkey") % 2 == 1
     text = o.select(
@@ -552,3 +551,27 @@ def props_json(spark, sf):
     return load(spark, sf, "events").select(
         "event_id", F.get_json_object("props", "$.k").cast("long").alias("k")
     )
+
+
+@query("""
+WITH t AS (
+  SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
+         CAST(o_orderkey AS VARCHAR) || repeat('7', 40) || '.25' AS wide FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 5 > 0 THEN price END AS DECIMAL(18,2)) AS exact,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'NaN' END AS special,
+       wide AS text, o_orderkey % 5 > 0 AS held, false AS wide_held
+FROM t""")
+def decode_numerics(spark, sf):
+    """Numerics of any size: exact or not at all, special values and text kept."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    wide = F.concat(F.col("o_orderkey").cast("string"), F.lit("7" * 40 + ".25"))
+    given = F.when(F.col("o_orderkey") % 5 > 0, price).otherwise("NaN")
+    small = V.numeric(given, 18, 2)
+    return load(spark, sf, "orders").select(
+        "o_orderkey",
+        small["value"].alias("exact"),
+        small["special"].alias("special"),
+        V.numeric(wide, mode="string").alias("text"),
+        small["value"].isNotNull().alias("held"),
+        V.numeric(wide).isNotNull().alias("wide_held"),
+    )
