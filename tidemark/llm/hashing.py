@@ -9,7 +9,7 @@ import numpy as np
 #: Odd bases of the polynomials, modulo 2**64.
 BASES = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9]
 #: Bytes hashed at once; a longer text is hashed alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
