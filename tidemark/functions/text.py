@@ -130,7 +130,7 @@ def edit_distance(a: Column, b: Column) -> Column:
 # ---- keys by which similar words meet -----------------------------------------------
 
 #: words up to this length meet by deletions, longer ones by segments
-LONG_WORD = 32
+LONG_WORD = 10
 
 
 def _deletions(word: Column) -> Column:
