@@ -183,7 +183,7 @@ def search_index_build(spark, sf):
 
 @query(INDEX + "SELECT term, _index, field, df FROM t")
 def term_index(spark, sf):
-    return index_of(spark, sf).terms()
+    return index_of(spark, sf).terms().drop("bucket")
 
 
 @query(INDEX + """
