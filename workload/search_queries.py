@@ -13,6 +13,7 @@ from tidemark.operators import documents as D
 from tidemark.operators import search as S
 from tidemark.session import shared_dir
 from workload.fixtures import load
+from workload.sync_queries import ISO
 
 QUERIES = {}
 SQL = {}
@@ -44,9 +45,6 @@ def search_documents(spark, sf) -> DataFrame:
     return D.all_indices(*docs)
 
 
-FIELDS = ["o_orderstatus", "o_orderpriority", "c_name", "c_mktsegment", "text", "lang", "source"]
-
-
 @lru_cache(maxsize=8)
 def _index_path(application: str, root: str, sf: str) -> str:
     return f"{root}/tidemark/index-{uuid.uuid4().hex}"
@@ -56,7 +54,7 @@ _BUILT: set[str] = set()
 
 
 def build(spark, sf, path: str) -> S.SearchIndex:
-    return S.SearchIndex.write(search_documents(spark, sf), path, FIELDS, buckets=8)
+    return S.SearchIndex.write(search_documents(spark, sf), path, buckets=8)
 
 
 def index_of(spark, sf) -> S.SearchIndex:
@@ -76,13 +74,16 @@ TEXTS = """
 d AS (
   SELECT 'shop_orders' AS _index, 'orders_' || o_orderkey AS _id, 'shop' AS _schema, 'orders' AS _table,
          '2024-01-03T00:00:00Z' AS stamp, unnest([{'f': 'o_orderstatus', 't': o_orderstatus},
-           {'f': 'o_orderpriority', 't': o_orderpriority}]) AS x FROM orders
+           {'f': 'o_orderpriority', 't': o_orderpriority}, {'f': 'o_orderkey', 't': CAST(o_orderkey AS VARCHAR)},
+           {'f': 'o_custkey', 't': CAST(o_custkey AS VARCHAR)}, {'f': 'o_orderdate', 't': """ + ISO.format(c="o_orderdate") + """}]) AS x FROM orders
   UNION ALL
   SELECT 'crm_customer', 'customer_' || c_custkey, 'crm', 'customer', '2024-01-01T00:00:00Z',
-         unnest([{'f': 'c_name', 't': c_name}, {'f': 'c_mktsegment', 't': c_mktsegment}]) FROM customer
+         unnest([{'f': 'c_name', 't': c_name}, {'f': 'c_mktsegment', 't': c_mktsegment}, {'f': 'c_custkey', 't': CAST(c_custkey AS VARCHAR)},
+           {'f': 'c_nationkey', 't': CAST(c_nationkey AS VARCHAR)}]) FROM customer
   UNION ALL
   SELECT 'shop_documents', 'documents_' || doc_id, 'shop', 'documents', '2024-01-02T00:00:00Z',
-         unnest([{'f': 'text', 't': text}, {'f': 'lang', 't': lang}, {'f': 'source', 't': source}]) FROM documents),
+         unnest([{'f': 'text', 't': text}, {'f': 'lang', 't': lang}, {'f': 'source', 't': source}, {'f': 'doc_id', 't': CAST(doc_id AS VARCHAR)},
+           {'f': 'n_chars', 't': CAST(n_chars AS VARCHAR)}]) FROM documents),
 w AS (SELECT _index, _id, _schema, _table, stamp, x.f AS field, """ + WORDS.format("x.t") + """ AS ws FROM d),
 p AS (SELECT _index, _id, _schema, _table, stamp, field, len(ws) AS fl, term, count(*) AS tf
       FROM (SELECT *, unnest(ws) AS term FROM w) GROUP BY ALL),
@@ -301,3 +302,13 @@ def search_highlights(spark, sf):
     docs = search_documents(spark, sf)
     hits = S.search(index_of(spark, sf), docs, KEYWORD).hits
     return hits.select("_index", "_id", "score", F.to_json("highlight").alias("highlight"))
+
+
+@query(ONE.replace("'" + KEYWORD + "'", "(SELECT max(o_orderkey) || ' ' || strftime(max(o_orderdate), '%Y-%m-%d') FROM orders)")
+       + f"SELECT _index, _id, score FROM scored {ORDER} LIMIT 20")
+def search_number(spark, sf):
+    """The last order's key and the last date, as a user would type them."""
+    last = load(spark, sf, "orders").agg(F.max("o_orderkey"), F.date_format(F.max("o_orderdate"), "yyyy-MM-dd")).first()
+    docs = search_documents(spark, sf)
+    hits = S.search(index_of(spark, sf), docs, f"{last[0]} {last[1]}", highlight=False).hits
+    return hits.select("_index", "_id", "score")
