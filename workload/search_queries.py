@@ -312,3 +312,23 @@ def search_number(spark, sf):
     docs = search_documents(spark, sf)
     hits = S.search(index_of(spark, sf), docs, f"{last[0]} {last[1]}", highlight=False).hits
     return hits.select("_index", "_id", "score")
+
+
+@query(f"""{ONE},
+top AS (SELECT _index, _id FROM scored {ORDER} LIMIT 20),
+marked AS (SELECT _index, _id, field, unnest(ws) AS term, generate_subscripts(ws, 1) AS place
+           FROM w JOIN top USING (_index, _id))
+SELECT _index, _id, field, arg_min(term, place) AS first_word, true AS in_text
+FROM marked JOIN (SELECT DISTINCT term FROM near) USING (term) GROUP BY _index, _id, field""")
+def search_highlight_words(spark, sf):
+    """Per hit and field: the first marked word, and whether all fragments are in the text."""
+    docs = search_documents(spark, sf)
+    hits = S.search(index_of(spark, sf), docs, KEYWORD).hits
+    texts = F.create_map(*[c for f in S.searchable_fields(docs) for c in (F.lit(f), F.col("source")[f].cast("string"))])
+    plain = lambda p: F.regexp_replace(p, "</?mark>", "")
+    rows = hits.select("_index", "_id", texts.alias("texts"), F.explode("highlight").alias("field", "fragments"))
+    return rows.select(
+        "_index", "_id", "field",
+        F.lower(F.regexp_extract(F.col("fragments")[0], "(?s)<mark>(.*?)</mark>", 1)).alias("first_word"),
+        F.forall("fragments", lambda p: F.col("texts")[F.col("field")].contains(plain(p))).alias("in_text"),
+    )
