@@ -86,3 +86,10 @@ def test_single_partition_only_above_a_summary(spark):
     below = plan[plan.index("SinglePartition") :]
     assert re.search(r"HashAggregate\(keys=\[_slice", below)
     assert "BatchEvalPython" not in plan
+
+
+def test_one_key_in_half_of_all_rows_is_cut_into_like_slices(spark):
+    df = spark.range(8000).selectExpr("id", "case when id % 2 = 0 then 7 else id end as k")
+    sliced = sorted_slices(df, [F.col("k")], 8)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 8000 and len(sizes) == 8 and max(sizes) < 2 * 1000
