@@ -9,7 +9,7 @@ from test_llm_tokens import WORDS, check_packing
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from tidemark.llm import quality
+from tidemark.llm import near_text, quality
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -79,3 +79,45 @@ def test_empty_table_passes_all_stages(spark):
 def test_run(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.count() > 100
+
+
+def five_word_sets(rows):
+    out = []
+    for t in rows:
+        ws = t.lower().split()
+        out.append({tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))})
+    return out
+
+
+def planted(seed, groups=60):
+    """Groups of a text and copies with words replaced, at similarities around 0.8 to 0.95."""
+    rng, rows = random.Random(seed), []
+    for _ in range(groups):
+        base = [words(rng, 1) for _ in range(rng.randint(150, 400))]
+        rows.append(" ".join(base))
+        for share in (0.006, 0.012, 0.019):
+            near = list(base)
+            for at in rng.sample(range(len(base)), max(1, round(share * len(base)))):
+                near[at] = "zz" + words(rng, 1)
+            rows.append(" ".join(near))
+    return rows
+
+
+def jaccard_roots(rows, least=0.8):
+    sets, root = five_word_sets(rows), list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and common >= least * (len(sets[i]) + len(sets[j]) - common):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return root
+
+
+def test_near_duplicate_stage_links_similar_word_shingles(spark, monkeypatch):
+    rows = planted(3)
+    want = sorted(set(jaccard_roots(rows)))
+    for block in (near_text.BLOCK, 2):  # and with every band dealt into blocks
+        monkeypatch.setattr(near_text, "BLOCK", block)
+        out = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").collect()
+        assert sorted(r.doc_id for r in out) == want
