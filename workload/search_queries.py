@@ -168,6 +168,38 @@ def keyword_table(index: S.SearchIndex) -> DataFrame:
     )
 
 
+#: one word of every document whose id is divisible by 100, from each searchable field in
+#: turn, misspelt by the rule above; the id is the number of the query
+TYPED = f"""
+typed AS (SELECT doc_id AS query_id, doc_id // 100 AS n, {WORDS.format("CASE (doc_id // 100) % 5 WHEN 0 THEN text WHEN 1 THEN lang WHEN 2 THEN source WHEN 3 THEN CAST(doc_id AS VARCHAR) ELSE CAST(n_chars AS VARCHAR) END")} AS ws
+  FROM documents WHERE doc_id % 100 = 0),
+picked AS (SELECT query_id, n, ws[1 + n % len(ws)] AS term FROM typed WHERE len(ws) > 0),
+queries AS (SELECT query_id, CASE n % 4
+    WHEN 0 THEN term || ' ' || substr(term, 1, 2)
+    WHEN 1 THEN term
+    WHEN 2 THEN substr(term, 1, 1) || substr(term, 3, 1) || substr(term, 2, 1) || substr(term, 4)
+    ELSE substr(term, 1, 2) || substr(term, 4) END AS keyword FROM picked),
+qw AS (SELECT DISTINCT query_id, unnest({WORDS.format("keyword")}) AS word FROM queries)
+"""
+
+
+def typed_table(docs: DataFrame) -> DataFrame:
+    """``query_id``, ``keyword``: grows with the documents, no order over all of them."""
+    n = F.expr("doc_id div 100")
+    fields = ["text", "lang", "source", "doc_id", "n_chars"]
+    value = F.coalesce(*[F.when(n % len(fields) == i, F.col(f).cast("string")) for i, f in enumerate(fields)])
+    words = docs.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), n.alias("n"), X.tokens(value).alias("ws"))
+    picked = words.filter("size(ws) > 0").selectExpr("query_id", "n", "ws[CAST(n % size(ws) AS INT)] AS term")
+    return picked.selectExpr(
+        "query_id",
+        """CASE n % 4
+             WHEN 0 THEN term || ' ' || substr(term, 1, 2)
+             WHEN 1 THEN term
+             WHEN 2 THEN substr(term, 1, 1) || substr(term, 3, 1) || substr(term, 2, 1) || substr(term, 4)
+             ELSE substr(term, 1, 2) || substr(term, 4) END AS keyword""",
+    )
+
+
 # ---- queries ------------------------------------------------------------------------
 
 
@@ -246,6 +278,21 @@ def search_many(spark, sf):
     return S.search_many(index, keyword_table(index)).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query(f"WITH {TEXTS}, {TYPED}, {NEAR} SELECT word, term, distance FROM near")
+def fuzzy_terms_typed(spark, sf):
+    index = index_of(spark, sf)
+    words = index.query_words(typed_table(load(spark, sf, "documents")))
+    return index.similar_terms(words).withColumn("distance", F.col("distance").cast("long"))
+
+
+@query(f"""WITH {TEXTS}, {TYPED}, {SCORE}
+SELECT query_id, _index, _id, score, "rank" FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id {ORDER}) AS "rank" FROM scored) WHERE "rank" <= 20""")
+def search_many_typed(spark, sf):
+    typed = typed_table(load(spark, sf, "documents"))
+    return S.search_many(index_of(spark, sf), typed).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query(f"""{ONE} SELECT _index, _id, score FROM scored {ORDER} LIMIT 20 OFFSET 20""")
 def search_page(spark, sf):
     docs = search_documents(spark, sf)
