@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann_forest, bpe, licenses, packing, quality, sharding, simhash, suffix_dedup, url_filter, vafile
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    ann_forest, bpe, conversations, hard_negatives, licenses, mixing, packing, quality, sharding, simhash, suffix_dedup,
+    url_filter, vafile,
+)
 from tidemark.llm.common import table
 
 QUERIES = {}
@@ -106,3 +111,66 @@ def op5_quality(spark, sf):
 @query()
 def op6_licenses(spark, sf):
     return licenses.scan(table(spark, sf, "documents"), licenses.TEMPLATES)
+
+
+@query("""
+WITH v AS (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.n, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.n <> c.n AND len(a.v) = len(c.v)),
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS place FROM p WHERE same),
+neg AS (
+  SELECT pos.n, pos.place, pos.anchor_id, pos.vec_id AS positive_id, p.vec_id AS negative_id, pos.score AS positive_score,
+         p.score AS negative_score, row_number() OVER (PARTITION BY pos.n, place ORDER BY p.score DESC, p.vec_id) AS rank
+  FROM pos JOIN p ON pos.n = p.n AND NOT p.same AND place <= 5
+   AND 50 * pos.score::HUGEINT <= 100 * p.score::HUGEINT AND 100 * p.score::HUGEINT <= 95 * pos.score::HUGEINT)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 3
+""")
+def op11_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS h
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS s,
+         CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS HUGEINT) AS w
+  FROM d GROUP BY source),
+r AS (  -- sources in the order in which they fill up; the first that does not sets the share
+  SELECT s, w, s * 10 // w AS fill, 3 * sum(s) OVER () - 4 * (sum(s) OVER o - s) AS num,
+         2 * (sum(w) OVER () - sum(w) OVER o + w) AS den, row_number() OVER o AS n
+  FROM s WINDOW o AS (ORDER BY s * 10 // w, w, source ROWS UNBOUNDED PRECEDING)),
+share AS (SELECT CAST(num AS HUGEINT) AS num, CAST(den AS HUGEINT) AS den FROM r WHERE 2 * s * den >= w * num ORDER BY n LIMIT 1),
+t AS (
+  SELECT source, s, CASE WHEN 2 * s * den < w * num THEN 2.0::DOUBLE * s ELSE w * (num::DOUBLE / den) END AS target, den,
+         CASE WHEN 2 * s * den < w * num THEN 2 WHEN s = 0 THEN 0 ELSE w * num // (s * den) END AS times,
+         CASE WHEN 2 * s * den < w * num OR s = 0 THEN 0 ELSE w * num - (w * num // (s * den)) * s * den END AS owed
+  FROM s, share),
+c AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h) AS cum, sum(size) OVER (PARTITION BY source, h) AS here
+  FROM d)
+SELECT doc_id, c.source, size, CAST(s AS BIGINT) AS source_size, target,
+       CAST(size * (times + CASE WHEN owed > 0 AND (2 * cum - here) * den <= 2 * owed THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
+""")
+def op12_mixing(spark, sf):
+    return mixing.mix(table(spark, sf, "documents"))
+
+
+@query()
+def op13_repair(spark, sf):
+    whole = table(spark, sf, "conversations")
+    return conversations.reports(conversations.damage(whole), whole)
