@@ -59,14 +59,51 @@ def test_tokens(spark):
     assert got == cases
 
 
-def test_term_counts(spark):
+def test_spans_and_term_places(spark):
     rng = random.Random(1)
-    texts = [[rng.choice("abcdef") for _ in range(n)] for n in (0, 1, 2, 3, 50, 400)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, w array<string>")
-    got = X.with_term_counts(df, "w", "c").collect()
+    word = lambda: rng.choice(["ab", "Ä", "x9", "İz", "中文搜", "_", "中", "b"])
+    texts = ["", " ", "a", "--a", "Hello,\n WORLD-2 é"] + [rng.choice(["", " ", ".,"]).join(word() for _ in range(n)) for n in (1, 2, 3, 16, 50, 400)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = X.with_term_places(X.with_spans(df, "t", "s"), "s", "c").withColumn("w", X.tokens(F.col("t"))).collect()
     for r in got:
-        want = sorted(Counter(texts[r.i]).items())
-        assert [tuple(c) for c in r.c or []] == want
+        assert [s.term for s in r.s] == r.w
+        for s in r.s:
+            assert texts[r.i][s.start - 1 :][: len(s.term)].replace("İ", "i").lower() == s.term
+        want = sorted(Counter(r.w).items())
+        assert [(c.term, c.tf) for c in r.c or []] == want
+        for c in r.c or []:
+            assert sorted(c.starts) == [s.start for s in r.s if s.term == c.term]
+    assert spark.createDataFrame([(None,)], "t string").transform(lambda d: X.with_spans(d, "t", "s")).first().s is None
+
+
+def test_words_of_any_script_are_runs_of_letters_and_digits(spark):
+    plain = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
+    rng = random.Random(7)
+    blocks = [(0, 0x180), (0x370, 0x400), (0x5D0, 0x5F0), (0x2E80, 0x3200), (0x4E00, 0x4E40), (0xAC00, 0xAC20), (0x1F600, 0x1F610), (0x20000, 0x20010)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(blocks))) for _ in range(60)) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(F.lower("t").alias("t"))
+    want = F.regexp_extract_all("t", F.lit(plain), F.lit(0))
+    pieces = F.regexp_extract_all("t", F.lit(f"{X.GAP}(?:{X.WORD})"), F.lit(0))
+    bare = F.transform(pieces, lambda p: F.regexp_replace(p, r"^[^\p{L}\p{N}\p{IsHan}]+", ""))
+    got = df.select(want.alias("a"), F.regexp_extract_all("t", F.lit(X.WORD), F.lit(0)).alias("b"), bare.alias("c")).collect()
+    assert all(r.a == r.b == r.c for r in got) and sum(len(r.a) for r in got) > 2000
+
+
+def test_running_totals(spark):
+    cases = [[], [5], [1, 0, 2], list(range(100)), [1] * 1023]
+    df = spark.createDataFrame([(c,) for c in cases], "v array<int>")
+    for r in X.with_running_totals(df, "v", "t").collect():
+        assert r.t == [sum(r.v[: i + 1]) for i in range(len(r.v))]
+
+
+def test_numbers_have_one_text_form(spark):
+    cases = {"12": "12", "12.50": "12.5", "100": "100", "0.000": "0", "-3.0000001": "-3", "1e3": "1000", "x": None, "": None, "9" * 40: None}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r.t: r.n for r in df.select("t", X.number_text(F.col("t")).alias("n")).collect()} == cases
+    floats = spark.createDataFrame([(112946.26,), (1e7,), (0.1,)], "x double").select(X.number_text(F.col("x"))).collect()
+    assert [r[0] for r in floats] == ["112946.26", "10000000", "0.1"]
+    typed = spark.createDataFrame([(" a 12.50 -7 1e3 12.5 2024-01-02 3. .5 x1",)], "k string")
+    assert typed.select(X.typed_numbers(F.col("k"))).first()[0] == ["12.5", "-7"]
 
 
 def test_edit_distance(spark):
@@ -82,19 +119,15 @@ def test_similar_words_share_a_key(spark):
     """Short and long words, and those on both sides of the border between the two."""
     cases = [
         (a, b)
-        for a, b in pairs(3, [3, 4, 5, 6, 7, 9, 30, 31, 32, 33, 34, 35, 60], "abcdefgh", 1500)
+        for a, b in pairs(3, [3, 4, 5, 6, 7, 8, 9, 10, 30, 60], "abcdefgh", 4000)
         if osa(a, b) <= (0 if len(a) <= 2 else 1 if len(a) <= 5 else 2)
     ]
-    assert len(cases) > 700
-    from tidemark.operators.search import near_keys
+    assert len(cases) > 1800
+    from tidemark.operators.search_index import near_keys
 
     df = spark.createDataFrame(cases, "word string, term string")
     near = near_keys(df.select("term").distinct()).groupBy("term").agg(F.collect_set("key").alias("k"))
-    word, size = F.col("word"), F.length("word")
-    none = F.array().cast("array<bigint>")
-    probes = F.concat(
-        F.when(size <= X.LONG_WORD + 2, X.deletion_keys(word, X.max_edits(word))).otherwise(none),
-        F.when(size >= X.LONG_WORD - 1, X.segment_probe_keys(word)).otherwise(none),
-    )
+    probes = X.deletion_keys(F.col("word"), X.max_edits(F.col("word")))
     lost = df.join(near, "term").filter(~F.arrays_overlap(probes, "k"))
     assert rows(lost.select("word", "term")) == []
+    assert near.agg(F.max(F.size("k"))).first()[0] <= 22

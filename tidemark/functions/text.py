@@ -5,14 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: a run of Han characters, or of other letters and digits
-WORD = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
-HAN = r"^\p{IsHan}"
+#: Classes name frequent characters first: a class is tested from left to right, and asking for a
+#: character's script is slow. All Han characters are above the bound.
+HAN_CHAR = r"[\x{2E80}-\x{3FFFF}&&\p{IsHan}]"
+OTHER_CHAR = r"[a-z0-9ß-öø-ÿ[\p{L}\p{N}&&[^\p{IsHan}]]]"
+#: a run of letters and digits, or of Han characters
+WORD = f"{OTHER_CHAR}+|{HAN_CHAR}+"
+HAN = f"^{HAN_CHAR}"
+#: what may stand before a word
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F[^\p{L}\p{N}\p{IsHan}]]*"
+
+
+def _lowered(text: Column) -> Column:
+    """Lower case with as many characters: the one letter that would become two is replaced."""
+    return F.lower(F.translate(text, "İ", "i"))
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words; a run of Han characters becomes its overlapping pairs."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all(_lowered(text), F.lit(WORD), F.lit(0))
 
     def pairs(word: Column) -> Column:
         starts = F.sequence(F.lit(1), F.length(word) - 1)
@@ -21,11 +32,66 @@ def tokens(text: Column) -> Column:
             F.transform(starts, lambda i: F.substring(word, i, F.lit(2))),
         ).otherwise(F.array(word))
 
-    return F.when(text.rlike(r"\p{IsHan}"), F.flatten(F.transform(words, pairs))).otherwise(words)
+    return F.when(text.rlike(HAN_CHAR), F.flatten(F.transform(words, pairs))).otherwise(words)
+
+
+def with_running_totals(df: DataFrame, values: str, name: str) -> DataFrame:
+    """Add the sums of the integer array ``values`` up to each element.
+
+    Sums are made in chunks of about the root of its size, since appending to an array
+    copies it. Each step is a column of its own that the next one uses twice, so the planner
+    does not work it out again within a loop.
+    """
+
+    def sums(part: Column, base: Column) -> Column:
+        grown = F.aggregate(part, F.array(base), lambda out, x: F.concat(out, F.array(F.element_at(out, -1) + x)))
+        return F.slice(grown, F.lit(2), F.size(part))
+
+    count = F.size(values)
+    none = F.array().cast("array<int>")
+    chunks = F.when(count > 0, F.transform(
+        F.sequence(F.lit(0), F.col("_chunk") - 1),
+        lambda c: F.slice(values, c * F.col("_step") + 1, F.col("_step")),
+    )).otherwise(F.array().cast("array<array<int>>"))
+    totals = F.transform("_chunks", lambda c: F.aggregate(c, F.lit(0), lambda a, x: a + x))
+    ends = F.transform("_chunks", lambda c, i: sums(c, F.when(i > 0, F.element_at("_bases", F.greatest(i, F.lit(1)))).otherwise(0)))
+    return (
+        df.withColumn("_step", F.greatest(F.ceil(F.sqrt(count)), F.lit(1)).cast("int"))
+        .withColumn("_chunk", F.ceil(count / F.col("_step")).cast("int"))
+        .withColumn("_chunks", chunks)
+        .withColumn("_bases", sums(totals, F.lit(0)))
+        .withColumn(name, F.when(F.size("_bases") > 0, F.flatten(ends)).otherwise(none))
+        .drop("_step", "_chunk", "_chunks", "_bases")
+    )
+
+
+def with_spans(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add array<struct<term, start>>: the words of ``tokens`` and where they start, from 1."""
+    low = df.withColumn("_low", _lowered(F.col(text)))
+    found = low.withColumn("_words", F.regexp_extract_all("_low", F.lit(WORD), F.lit(0))).withColumn(
+        "_pieces", F.transform(F.regexp_extract_all("_low", F.lit(f"{GAP}(?:{WORD})"), F.lit(0)), F.length)
+    )
+    found = with_running_totals(found, "_pieces", "_ends")
+    spans = F.zip_with(
+        "_words", "_ends", lambda w, end: F.struct(w.alias("term"), (end - F.length(w) + 1).alias("start"))
+    )
+
+    def pairs(span: Column) -> Column:
+        word = span["term"]
+        one = lambda i: F.struct(F.substring(word, i, F.lit(2)).alias("term"), (span["start"] + i - 1).alias("start"))
+        return F.when(
+            word.rlike(HAN) & (F.length(word) > 1), F.transform(F.sequence(F.lit(1), F.length(word) - 1), one)
+        ).otherwise(F.array(span))
+
+    return (
+        found.withColumn("_spans", spans)
+        .withColumn(name, F.when(F.col("_low").rlike(HAN_CHAR), F.flatten(F.transform("_spans", pairs))).otherwise(F.col("_spans")))
+        .drop("_low", "_words", "_pieces", "_ends", "_spans")
+    )
 
 
-def with_term_counts(df: DataFrame, words: str, name: str) -> DataFrame:
-    """Add array<struct<term, tf>> for the array column ``words``.
+def with_term_places(df: DataFrame, spans: str, name: str) -> DataFrame:
+    """Add array<struct<term, tf, starts>> for the array column ``spans``.
 
     Counting by runs of the sorted words keeps a text within its row, so postings need
     no shuffle. Each step is a column of its own: it is used twice by the next one and
@@ -33,27 +99,33 @@ def with_term_counts(df: DataFrame, words: str, name: str) -> DataFrame:
     """
     count = F.size("_sorted")
     shifted = F.concat(
-        F.array(F.lit(None).cast("string")), F.slice("_sorted", F.lit(1), F.greatest(count - 1, F.lit(0)))
-    )
-    heads = F.zip_with(
-        F.slice("_sorted", F.lit(1), count), shifted, lambda w, before: F.when(~w.eqNullSafe(before), w)
+        F.array(F.lit(None).cast("string")),
+        F.slice("_terms", F.lit(1), F.greatest(count - 1, F.lit(0))),
     )
+    heads = F.zip_with("_terms", shifted, lambda w, before: F.when(~w.eqNullSafe(before), w))
     runs = F.array_compact(
         F.transform(
-            heads, lambda w, i: F.when(w.isNotNull(), F.struct(w.alias("term"), i.alias("at")))
+            F.slice(heads, F.lit(1), count),
+            lambda w, i: F.when(w.isNotNull(), F.struct(w.alias("term"), i.alias("at"))),
         )
     )
     ends = F.concat(
         F.slice(F.col("_runs.at"), F.lit(2), F.greatest(F.size("_runs"), F.lit(1))), F.array(count)
     )
     counted = F.zip_with(
-        "_runs", ends, lambda r, end: F.struct(r["term"].alias("term"), (end - r["at"]).alias("tf"))
-    )
+        "_runs", ends,
+        lambda r, end: F.struct(
+            r["term"].alias("term"), (end - r["at"]).alias("tf"),
+            F.slice("_starts", r["at"] + 1, end - r["at"]).alias("starts"),
+        ),
+    )
     return (
-        df.withColumn("_sorted", F.sort_array(words))
+        df.withColumn("_sorted", F.sort_array(spans))
+        .withColumn("_terms", F.col("_sorted.term"))
+        .withColumn("_starts", F.col("_sorted.start"))
         .withColumn("_runs", runs)
-        .withColumn(name, F.when(count > 0, counted))
-        .drop("_sorted", "_runs")
+        .withColumn(name, F.when((count > 0) & (F.size("_starts") > 0), counted))
+        .drop("_sorted", "_terms", "_starts", "_runs")
     )
 
 
@@ -129,8 +201,8 @@ def edit_distance(a: Column, b: Column) -> Column:
 
 # ---- keys by which similar words meet -----------------------------------------------
 
-#: words up to this length meet by deletions, longer ones by segments
-LONG_WORD = 10
+#: letters of a word that its keys are made of
+KEY_LETTERS = 6
 
 
 def _deletions(word: Column) -> Column:
@@ -145,54 +217,37 @@ def _deletions(word: Column) -> Column:
 
 
 def deletion_keys(word: Column, edits: Column) -> Column:
-    """The word and what up to ``edits`` (0 to 2) deletions leave of it, hashed.
+    """A word's first letters and what up to ``edits`` (0 to 2) deletions leave of them, hashed.
 
-    Two words within that distance share a key.
+    Words within that distance share a key: an edit takes at most one letter from what
+    the two beginnings have in common, be it changed, exchanged, or pushed out at the end.
+    A word has at most 22 keys, however long it is.
     """
-    one = F.array_distinct(_deletions(word))
-    two = F.flatten(F.transform(_deletions(word), _deletions))
+    head = F.substring(word, F.lit(1), F.lit(KEY_LETTERS))
+    one = F.array_distinct(_deletions(head))
+    two = F.flatten(F.transform(_deletions(head), _deletions))
     variants = (
-        F.when(edits == 0, F.array(word))
-        .when(edits == 1, F.concat(F.array(word), one))
-        .otherwise(F.concat(F.array(word), one, two))
+        F.when(edits == 0, F.array(head))
+        .when(edits == 1, F.concat(F.array(head), one))
+        .otherwise(F.concat(F.array(head), one, two))
     )
     return F.transform(F.array_distinct(variants), lambda v: F.xxhash64(v))
 
 
-def _segment_start(size: Column, s: Column) -> Column:
-    return F.floor(size * s / 5).cast("int")
+# ---- numbers ------------------------------------------------------------------------
 
+DECIMAL = "decimal(38,6)"
 
-def segment_keys(word: Column) -> Column:
-    """Five segments with length and number. Two edits, even two exchanges, leave at
-    least one whole and at most two places away."""
-    size = F.length(word)
-
-    def key(s: Column) -> Column:
-        start = _segment_start(size, s)
-        text = F.substring(word, start + 1, _segment_start(size, s + 1) - start)
-        return F.xxhash64(size, s, text)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(4)), key)
+def number_text(value: Column) -> Column:
+    """The one text form of a number: no exponent, up to six places, no closing zeros.
 
+    Null for what is no number or has over 32 digits before the point.
+    """
+    return F.regexp_replace(value.try_cast(DECIMAL).cast("string"), r"\.?0+$", "")
 
-def segment_probe_keys(word: Column) -> Column:
-    """Keys of all segments that a word within two edits could have in common."""
-    size = F.length(word)
-
-    def keys(delta: Column) -> Column:
-        other = size + delta
-
-        def of_segment(s: Column) -> Column:
-            start = _segment_start(other, s)
-            width = _segment_start(other, s + 1) - start
-
-            def shifted(by: Column) -> Column:
-                text = F.substring(word, F.greatest(start + by, F.lit(0)) + 1, width)
-                return F.xxhash64(other, s, text)
-
-            return F.transform(F.sequence(F.lit(-2), F.lit(2)), shifted)
-
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(4)), of_segment))
 
-    return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(-2), F.lit(2)), keys)))
+def typed_numbers(keyword: Column) -> Column:
+    """The parts of a keyword, between spaces, that are numbers, in their text form."""
+    parts = F.filter(F.split(keyword, r"\s+"), lambda p: p.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"))
+    return F.array_distinct(F.array_compact(F.transform(parts, number_text)))

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # tables that are dealt by one key column stay where they are in a join on more columns
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # index names and run names in folder names stay text
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
