@@ -78,8 +78,6 @@ CASES = [
     (lambda c: F.struct(V.table_id(c)["schema"], V.table_id(c)["table"]),
      {"orders": ("public", "orders"), "a.b": ("a", "b"), '"A"."b c"': ("A", "b c"),
       "db.a.b": ("a", "b")}),
-    (V.cursor_number, {"12": 12, "": 0, "x": 0, None: 0}),
-    (V.cursor_text, {"k": "k", "": " ", None: " "}),
     (lambda c: V.enum(c, ["sad", "ok"]), {"ok": "ok", "no": None, None: None}),
     (lambda c: V.binary(F.encode(c, "UTF-8"), "base64"), {"ab": "YWI=", None: None}),
     (lambda c: V.binary(F.encode(c, "UTF-8"), "hex"), {"az": "617a"}),
@@ -142,3 +140,21 @@ def test_lsn_round_trip_and_order(spark):
     ranks = apply(spark, lsn.rank, numbers, "long")
     assert ranks == sorted(ranks)
     assert apply(spark, lambda c: lsn.unrank(lsn.rank(c)), numbers, "long") == numbers
+
+
+def test_nested_arrays(spark):
+    cases = {
+        "{{a,b},{c,NULL}}": [["a", "b"], ["c", None]],
+        '{{"x,{y}","q\\"r"},{ "" , NULL }}': [["x,{y}", 'q"r'], ["", None]],
+        "{{1},{2},{3}}": [["1"], ["2"], ["3"]],
+        "{}": [],
+        "{{a,b},{c}}": None,  # no box
+        "{a,b}": None, "{{{a}}}": None, "{{a},{b}": None, "{{a},{b}}}": None, "": None, "{{},{}}": None, None: None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.a for r in df.select("t", V.from_text("text[][]", F.col("t")).alias("a")).collect()}
+    assert got == cases
+    cube = [[[str(100 * i + 10 * j + k) for k in range(4)] for j in range(3)] for i in range(2)]
+    text = str(cube).replace("[", "{").replace("]", "}").replace("'", "")
+    got = spark.createDataFrame([(text,)], "t string").select(V.from_text("int8[][][]", F.col("t"))).first()[0]
+    assert got == [[[int(x) for x in c] for c in b] for b in cube]

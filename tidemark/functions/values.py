@@ -383,10 +383,44 @@ def hstore_json(text: Column) -> Column:
 def array(text: Column, element: Callable[[Column], Column] = lambda c: c) -> Column:
     """``{a,NULL,"b,c"}`` as an array, with ``element`` applied to each item; null if nested."""
     nested = F.regexp_replace(text, QUOTED, "").rlike(r"\{.*\{")
-    items = F.regexp_extract_all(F.when(~nested, text), F.lit(ARRAY_ITEM), F.lit(1))
+    return _items(F.when(~nested, text), element)
+
+
+def _items(text: Column, element: Callable[[Column], Column]) -> Column:
+    items = F.filter(F.regexp_extract_all(text, F.lit(ARRAY_ITEM), F.lit(1)), lambda i: F.trim(i) != "")
     return F.transform(F.transform(items, lambda i: _unquote(F.trim(i))), element)
 
 
+def nested_array(text: Column, depth: int, element: Callable[[Column], Column] = lambda c: c) -> Column:
+    """``{{a,b},{c,NULL}}`` as arrays in arrays, ``depth`` of them.
+
+    Such arrays are boxes: all parts of a level have one size. The items before the first run
+    of j closing braces fill a part j levels high, so items are cut into parts of that size, level by
+    level. Null for text of another depth or with parts of unlike size; ``{}`` is empty.
+    """
+    items = _items(text, element)
+    marked = F.regexp_replace(F.regexp_replace(text, QUOTED, "v"), r"[^{},]*[^{},\s][^{},]*", "v")
+    shape = F.regexp_replace(marked, r"[,\s]+", "")
+    first = [F.substring(shape, F.lit(1), F.instr(shape, "}" * j) - 1) for j in range(1, depth + 1)]
+    sizes = [F.length(F.regexp_replace(f, "[^v]", "")) for f in first]
+
+    def parts(items: Column, level: int) -> Column:
+        if level == 1:
+            return items
+        size = sizes[level - 2]
+        starts = F.sequence(F.lit(1), F.size(items), size)
+        return F.transform(starts, lambda at: parts(F.slice(items, at, size), level - 1))
+
+    # the shape that a box of these sizes has
+    box = F.lit("v")
+    for j, size in enumerate(sizes):
+        inside = F.lit(1) if j == 0 else F.greatest(sizes[j - 1], F.lit(1))
+        box = F.concat(F.lit("{"), F.repeat(box, (size / inside).cast("int")), F.lit("}"))
+    none = F.array().cast("array<int>")
+    empty = parts(items, 1) if depth == 1 else F.transform(none, lambda _: parts(items, depth - 1))
+    return F.when(shape == "{}", empty).when((sizes[0] > 0) & (shape == box), parts(items, depth))
+
+
 def ltree_array(text: Column) -> Column:
     """``{a.b,c}`` as a list of paths."""
     return F.split(F.substring(text, F.lit(2), F.length(text) - 2), ",")
@@ -455,16 +489,6 @@ def table_id(name: Column, default_schema: str = "public") -> Column:
     )
 
 
-def cursor_number(cursor: Column) -> Column:
-    """A saved cursor as a number; empty or unreadable is 0."""
-    return F.coalesce(cursor.try_cast("bigint"), F.lit(0).cast("bigint"))
-
-
-def cursor_text(cursor: Column) -> Column:
-    """A saved cursor as text; empty becomes one space."""
-    return F.when(F.coalesce(cursor, F.lit("")) == "", F.lit(" ")).otherwise(cursor)
-
-
 def enum(text: Column, allowed: list[str]) -> Column:
     """The label if it is one of the type's labels."""
     return F.when(text.isin(allowed), text)
@@ -474,13 +498,15 @@ def enum(text: Column, allowed: list[str]) -> Column:
 
 
 def from_text(kind: str, text: Column, options: dict | None = None) -> Column:
-    """The rule for a column read as text, by its short type name (``[]`` for arrays)."""
+    """The rule for a column read as text, by its short type name (``[]`` for arrays, once per level)."""
     o = options or {}
     kind = TYPE_ALIASES.get(kind, kind)
     if kind.endswith("[]"):
         if kind == "ltree[]":
             return ltree_array(text)
-        return array(text, lambda item: from_text(kind[:-2], item, o))
+        depth = (len(kind) - len(kind.rstrip("[]"))) // 2
+        element = lambda item: from_text(kind[: -2 * depth], item, o)
+        return array(text, element) if depth == 1 else nested_array(text, depth, element)
     rules: dict[str, Callable[[], Column]] = {
         "bool": lambda: boolean(text),
         "bit": lambda: bit_flag(text),

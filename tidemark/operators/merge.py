@@ -249,26 +249,3 @@ def observed_columns(log: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-
-
-def merge_into_table(
-    folded: DataFrame, table: str, keys: list[str], columns: list[str]
-) -> None:
-    """Write folded changes into a catalog table that supports row-level merge."""
-    same = " AND ".join(f"{table}.{k} = s.{k}" for k in keys)
-    source = folded.alias("s")
-    kept = lambda c: F.when(
-        F.array_contains("s._unchanged", c), F.col(f"{table}.{c}")
-    ).otherwise(F.col(f"s.{c}"))
-    insert = {k: F.col(f"s.{k}") for k in keys} | {c: F.col(f"s.{c}") for c in columns}
-    (
-        source.mergeInto(table, F.expr(same))
-        .whenMatched(F.col("s.op") == "d")
-        .delete()
-        .whenMatched()
-        .update({c: kept(c) for c in columns})
-        .whenNotMatched(F.col("s.op") != "d")
-        .insert(insert)
-        .merge()
-    )
-

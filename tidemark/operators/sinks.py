@@ -119,17 +119,3 @@ def write_by_topic(changes: DataFrame, path: str, server: str) -> None:
     """Changes in one folder per destination."""
     routed = changes.withColumn("topic", topic(server, F.col("schema"), F.col("table")))
     routed.write.mode("append").partitionBy("topic").parquet(path)
-
-
-def write_to_search_engine(docs: DataFrame, nodes: str, **options: str) -> None:
-    """Documents to a search cluster, where its Spark connector is installed."""
-    (
-        docs.write.format("es")
-        .option("es.nodes", nodes)
-        .option("es.mapping.id", "_id")
-        .option("es.mapping.exclude", "_index,_id")
-        .option("es.resource", "{_index}")
-        .options(**options)
-        .mode("append")
-        .save()
-    )

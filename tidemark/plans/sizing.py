@@ -1,29 +1,10 @@
-"""Fitting partitions to the work done in them."""
+"""What the planner knows of a result's size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.session import byte_setting
-
 
 def estimated_bytes(df: DataFrame) -> int:
     """The planner's estimate of a result's size."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether an input is too small to give each core a full split."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    split = byte_setting(df.sparkSession, "spark.sql.files.maxPartitionBytes")
-    return estimated_bytes(df) < cores * split
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Deal out a small input over all cores before work that is heavy per row.
-
-    It may come in one partition. A larger one has splits enough, and is left where it
-    is read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if is_small(df) else df

@@ -43,7 +43,7 @@ def statement_documents(
     if key is None:
         return docs.withColumn("_cursor", F.lit(None).cast("string"))
     # documents carry times as ISO text, which the cursor reads back as a time
-    return docs.withColumn("_cursor", key_text(key, key_kind(rows, key, spec.numeric)))
+    return docs.withColumn("_cursor", key_text(key, key_kind(rows, key, spec.numeric), dict(rows.dtypes)[key]))
 
 
 def run_folder(target: str, statement: str, cursor: str | None, synced_at: str) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,18 +57,6 @@ def read_changes(
     return reader.schema(schema).options(**options).format(fmt).load(path)
 
 
-def read_change_topic(
-    spark: SparkSession, servers: str, topic: str, schema: T.StructType = LOG_SCHEMA, **options
-) -> DataFrame:
-    """A log kept in a Kafka topic of JSON rows, for clusters that have the connector."""
-    raw = (
-        spark.readStream.format("kafka")
-        .options(**{"kafka.bootstrap.servers": servers, "subscribe": topic, **options})
-        .load()
-    )
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r")).select("r.*")
-
-
 def op_name(code: Column) -> Column:
     """Name of an operation code; null for codes this version does not know."""
     pairs = [F.lit(part) for pair in OPS.items() for part in pair]
@@ -95,15 +84,21 @@ def decode_changes(
     options: dict | None = None,
     undelivered: tuple[str, ...] = (),
     strict: bool = True,
+    converters: dict[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """Turn datum arrays into one typed column per table column.
 
     ``columns`` maps names to short type names. The result has ``before`` and ``after``
     structs and ``_unchanged``: the columns whose new value the log did not repeat and
     whose old value is not in the message either. ``undelivered`` names large columns
-    that count as unchanged when they are missing from the message altogether.
+    that count as unchanged when they are missing from the message altogether. ``converters`` maps
+    a regular expression on the column name to a user's own rule, which gets the tagged
+    value and goes first.
     Everything happens within a row, so there is no shuffle and no explode.
     """
+    own = {
+        c: rule for pattern, rule in reversed((converters or {}).items()) for c in columns if re.fullmatch(pattern, c)
+    }
     named = lambda x: F.struct(V.identifier(x["column_name"]), x)
     maps = log.withColumns(
         {
@@ -122,7 +117,7 @@ def decode_changes(
     sides = {"_after_": "_n_", "_before_": "_o_"}
     typed = datums.withColumns(
         {
-            f"{side}{c}": V.from_datum(kind, F.col(f"{datum}{c}"), options)
+            f"{side}{c}": own[c](F.col(f"{datum}{c}")) if c in own else V.from_datum(kind, F.col(f"{datum}{c}"), options)
             for side, datum in sides.items()
             for c, kind in columns.items()
         }
@@ -131,7 +126,7 @@ def decode_changes(
     if strict:
         # a boolean reads any text, and a type without a rule may be left out
         checked = [
-            c for c, k in columns.items() if V.TYPE_ALIASES.get(k, k) not in ("bool", "unknown")
+            c for c, k in columns.items() if V.TYPE_ALIASES.get(k, k) not in ("bool", "unknown") and c not in own
         ]
         typed = typed.withColumns(
             {

@@ -30,29 +30,6 @@ def snapshot_scan(tables: dict[str, DataFrame], lsn: int | None = None) -> dict[
     return out
 
 
-def jdbc_table(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    key: str,
-    lower: int,
-    upper: int,
-    partitions: int,
-    fetch_size: int = 10_240,
-    **properties: str,
-) -> DataFrame:
-    """A database table read in parallel by key range (needs the driver jar)."""
-    return spark.read.jdbc(
-        url,
-        table,
-        column=key,
-        lowerBound=lower,
-        upperBound=upper,
-        numPartitions=partitions,
-        properties={"fetchsize": str(fetch_size), **properties},
-    )
-
-
 def clean_columns(
     df: DataFrame,
     types: dict[str, str],

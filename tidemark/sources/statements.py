@@ -58,13 +58,18 @@ def key_kind(df: DataFrame, column: str | None, numeric: bool) -> str:
     return "number" if numeric else "text"
 
 
-def key_column(column: str, kind: str) -> Column:
-    """The key as it is compared; a number that cannot be read stops the statement."""
+def key_column(column: str, kind: str, whole_type: str | None = None) -> Column:
+    """The key as it is compared; a number that cannot be read stops the statement.
+
+    ``whole_type`` is the column's type, if known: whole numbers need no check.
+    """
     c = F.col(column)
     if kind == "time":
         return c.cast("timestamp")
     if kind == "text":
         return c.cast("string")
+    if whole_type in ("tinyint", "smallint", "int", "bigint"):
+        return c.cast("bigint")  # plain, so that a comparison reaches the scan
     whole = c.try_cast("bigint")
     exact = whole.isNotNull() & (whole.cast("string") == F.trim(c.cast("string")))
     as_number = whole.isNotNull() & (c.try_cast("decimal(38,10)") == whole)
@@ -72,9 +77,9 @@ def key_column(column: str, kind: str) -> Column:
     return F.when(c.isNull() | exact | as_number, whole).otherwise(fault)
 
 
-def key_text(column: str, kind: str) -> Column:
+def key_text(column: str, kind: str, whole_type: str | None = None) -> Column:
     """The key as cursors are saved: times as ISO text in UTC."""
-    key = key_column(column, kind)
+    key = key_column(column, kind, whole_type)
     return timestamp_cursor(key) if kind == "time" else key.cast("string")
 
 
@@ -125,7 +130,9 @@ def run_statement(
 ) -> DataFrame:
     """The rows of a statement above its cursor.
 
-    ``?`` takes the typed cursor; without a cursor there is no lower bound. Keys are compared as
+    ``?`` takes the typed cursor; without a cursor it takes the lowest value there is, so that
+    ``key > ?`` keeps every text key but the empty one, which nothing is below, and null. Without ``?``
+    a first run has no lower bound and keeps those too. Keys are compared as
     the column's own type if it holds times, else as ``id_type`` says. A key that should be a
     number and is none stops the statement. A keyed statement is read to its end in one
     job, which gives the rows that reading chunk after chunk would give; its order and
@@ -143,17 +150,18 @@ def run_statement(
     if bound:
         shape = spark.sql(sql, args=[None])  # only analysed, for the key's type
         kind = key_kind(shape, actual_column(shape, spec.id_column), spec.numeric)
-        value = LOWEST[kind] if cursor is None else cursor
-        df = spark.sql(sql, args=[value if kind == "time" else cursor_value(value, kind == "number")])
+        # a first run binds the lowest value as it is
+        value = LOWEST[kind] if cursor is None else cursor if kind == "time" else cursor_value(cursor, kind == "number")
+        df = spark.sql(sql, args=[value])
     else:
         df = spark.sql(sql)
     key = actual_column(df, spec.id_column)
     if spec.keyed and key and not bound:
         kind = key_kind(df, key, spec.numeric)
         if cursor:
-            df = df.filter(key_column(key, kind) > typed(cursor, kind))
+            df = df.filter(key_column(key, kind, dict(df.dtypes)[key]) > typed(cursor, kind))
     if sized:
-        df = df.orderBy(key_column(key, kind)).limit(spec.chunk_size) if (
+        df = df.orderBy(key_column(key, kind, dict(df.dtypes)[key])).limit(spec.chunk_size) if (
             spec.keyed and key
         ) else df.limit(spec.chunk_size)
     return df

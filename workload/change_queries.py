@@ -322,10 +322,22 @@ def decode_and_apply(spark, sf):
     return M.apply_changes(None, rows, ["key"], ["event_type", "value", "props"], "seq", ["props"])
 
 
-@query("""
-SELECT '"public"."events"' AS "table", c AS "column", d AS difference FROM (
-  VALUES ('note', 'missing'), ('seen_at', 'added'), ('value', 'type')) v(c, d)
-WHERE EXISTS (SELECT 1 FROM events WHERE event_type <> 'error')""")
+#: what the definition says, and the columns that new rows carry: their types are those of the table
+DRIFT = """
+WITH known("column", type, large) AS (VALUES ('user_id', 20, false), ('event_type', 1043, false), ('value', 700, false),
+  ('props', 3802, true), ('note', 25, false), ('extra', 25, true)),
+named AS (SELECT CASE column_name WHEN 'ts' THEN 'seen_at' ELSE column_name END AS "column",
+    CASE WHEN column_name = 'props' THEN 3802 ELSE CASE column_type WHEN 'BIGINT' THEN 20 WHEN 'VARCHAR' THEN 1043 WHEN 'DOUBLE' THEN 701
+      ELSE 1114 END END AS type
+  FROM (DESCRIBE events) WHERE column_name <> 'event_id'),
+seen AS (SELECT * FROM named WHERE EXISTS (SELECT 1 FROM events WHERE event_type <> 'error'))
+SELECT '"public"."events"' AS "table", coalesce(k."column", s."column") AS "column",
+       CASE WHEN k.type IS NULL THEN 'added' WHEN s.type IS NULL THEN 'missing' ELSE 'type' END AS difference
+FROM known k FULL JOIN seen s ON k."column" = s."column"
+WHERE k.type IS DISTINCT FROM s.type AND NOT (s.type IS NULL AND k.large)"""
+
+
+@query(DRIFT)
 def schema_drift(spark, sf):
     """Columns seen in the log against a table definition that is out of date."""
     seen = M.observed_columns(raw_log(spark, sf)).select(
@@ -415,13 +427,13 @@ def capture_initial(spark, sf):
 
 
 def _parts(spark, rows, order, n, root):
-    """Write ``rows`` as ``n`` files, in their order, for a stream to read one after the other."""
+    """Write ``rows`` as ``n`` folders, in their order, for a stream to read one after the other."""
     low, high = rows.agg(F.min(order), F.max(order)).first()
     step = (high - low) // n + 1
     paths = [f"{root}/part{i}" for i in range(n)]
     for i, path in enumerate(paths):
         part = rows.filter(F.col(order).between(low + i * step, low + (i + 1) * step - 1))
-        part.coalesce(1).write.parquet(path)
+        part.write.parquet(path)
     return paths
 
 

@@ -11,7 +11,6 @@ from tidemark.functions import values as V
 from tidemark.operators import documents as D
 from tidemark.operators import sinks as S
 from tidemark.plans import state, sync
-from tidemark.plans.sizing import spread_small
 from tidemark.sources import snapshot, statements
 from tidemark.sources.statements import Statement
 from workload.fixtures import OPS, STAMP, TABLES, load, ops, views
@@ -325,6 +324,67 @@ def snapshot_events(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query("""
+SELECT 'orders' AS "table", count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(sum(o_custkey) AS BIGINT) AS refs,
+       CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents, CAST(sum(length(o_orderstatus || o_orderpriority)) AS BIGINT) AS letters,
+       max(strftime(o_orderdate, '%Y-%m-%d')) AS last FROM orders
+UNION ALL
+SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT), CAST(sum(c_nationkey) AS BIGINT),
+       CAST(sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS BIGINT), CAST(sum(length(c_name || c_mktsegment)) AS BIGINT), max(c_name) FROM customer
+UNION ALL
+SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT), CAST(sum(l_partkey + l_suppkey + l_linenumber) AS BIGINT),
+       CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT), CAST(sum(length(l_returnflag || l_linestatus)) AS BIGINT),
+       max(strftime(l_shipdate, '%Y-%m-%d')) FROM lineitem""")
+def snapshot_values(spark, sf):
+    """The values that snapshot events carry, summed by column."""
+    scans = snapshot.snapshot_scan({t: load(spark, sf, t) for t in ("orders", "customer", "lineitem")}, 7)
+    cents = lambda c: F.sum(F.round(F.col(f"after.{c}") * 100).cast("long")).alias("cents")
+    letters = lambda *cs: F.sum(F.length(F.concat(*[F.col(f"after.{c}") for c in cs]))).cast("long").alias("letters")
+    total = lambda c, name: F.sum(c).cast("long").alias(name)
+    day = lambda c: F.max(F.date_format(f"after.{c}", "yyyy-MM-dd")).alias("last")
+    rows = F.count("after").alias("rows")
+    sums = {
+        "orders": [total("after.o_orderkey", "keys"), total("after.o_custkey", "refs"), cents("o_totalprice"),
+                   letters("o_orderstatus", "o_orderpriority"), day("o_orderdate")],
+        "customer": [total("after.c_custkey", "keys"), total("after.c_nationkey", "refs"), cents("c_acctbal"),
+                     letters("c_name", "c_mktsegment"), F.max("after.c_name").alias("last")],
+        "lineitem": [total("after.l_orderkey", "keys"), total(F.expr("after.l_partkey + after.l_suppkey + after.l_linenumber"), "refs"),
+                     cents("l_extendedprice"), letters("l_returnflag", "l_linestatus"), day("l_shipdate")],
+    }
+    parts = [scans[t].filter("op = 'r' AND lsn = 7").groupBy("table").agg(rows, *columns) for t, columns in sums.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""
+SELECT doc_id, k FROM (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN '' WHEN doc_id % 10 = 1 THEN chr(9) || source || doc_id
+  ELSE lang || doc_id END AS k FROM documents) WHERE k > ''""")
+def sync_text_first(spark, sf):
+    """A first run by a text key of which one in ten begins with a control letter and one in ten is empty.
+
+    The empty key is not above anything, so the statement's own comparison leaves it out.
+    """
+    load(spark, sf, "documents").selectExpr(
+        "doc_id", "CASE WHEN doc_id % 10 = 0 THEN '' WHEN doc_id % 10 = 1 THEN '\\t' || source || doc_id ELSE lang || doc_id END AS k"
+    ).createOrReplaceTempView("keyed")
+    spec = Statement("keyed", "SELECT k, doc_id FROM keyed WHERE k > ? ORDER BY k LIMIT :chunkSize", id_column="k", id_type="text", chunk_size=100)
+    target = _target(spark, "sync-text-first")
+    for _ in range(2):  # the second run finds nothing above the last key
+        sync.sync_once(spark, [spec], target, STAMP)
+    return sync.read_documents(spark, target).select("doc_id", "k")
+
+
+@query("""
+SELECT CAST(row_number() OVER (ORDER BY first) AS INTEGER) AS place, name FROM (
+  SELECT 'region_' || n_regionkey AS name, min(n_nationkey) AS first FROM nation GROUP BY 1)""")
+def statement_names(spark, sf):
+    """A statement per nation, named by its region: each name once, in order of its first."""
+    # as many statements as a configuration has
+    rows = load(spark, sf, "nation").orderBy("n_nationkey").select("n_regionkey").collect()
+    specs = [Statement(f"region_{r[0]}", "SELECT 1 AS id") for r in rows] + [Statement("", "SELECT 1 AS id")]
+    names = sync.distinct_statements(specs)
+    return spark.createDataFrame([(i + 1, n) for i, n in enumerate(names)], "place int, name string")
+
+
 # ---- index writes -------------------------------------------------------------------
 
 FOLDED = f"""
@@ -498,7 +558,7 @@ SELECT o_orderkey,
 FROM orders""")
 def clean_text_columns(spark, sf):
     """A table delivered as text, read back by the value rules."""
-    o = spread_small(load(spark, sf, "orders"))
+    o = load(spark, sf, "orders")
     price = F.format_number("o_totalprice", 2)
     odd = F.col("o_orderkey") % 2 == 1
     text = o.select(

@@ -11,6 +11,7 @@ from tidemark.operators import merge as M
 from tidemark.operators import sinks as S
 from tidemark.plans.keyed_table import KeyedTable
 from tidemark.session import shared_dir
+from tidemark.sources.changes import DATUM
 from tidemark.streaming import apply as stream
 from workload.change_queries import _event_changes, _stream
 from workload.fixtures import CHANGES, changes, load
@@ -154,3 +155,66 @@ def catch_up_snapshot(spark, sf):
         lambda: top.select("key", "r.*"), 16777216 + half * 64,
     )
     return table.read(spark).select("key", "event_type", "value")
+
+
+@query("""
+SELECT o_orderkey, [[o_orderstatus, o_orderpriority], ['a,"b', NULL]] AS labels,
+       [[o_orderkey, o_custkey], [o_orderkey + 1, NULL], [3, o_custkey]] AS numbers,
+       CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE [[[CAST(o_custkey AS DOUBLE)]]] END AS cube
+FROM orders""")
+def nested_arrays(spark, sf):
+    """Arrays of two and three dimensions; one in three is no box and so null."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    text = lambda *parts: F.concat(*[p if isinstance(p, F.Column) else F.lit(p) for p in parts])
+    labels = text("{{", F.col("o_orderstatus"), ',"', F.col("o_orderpriority"), '"},{"a,\\"b",NULL}}')
+    numbers = text("{{", key, ",", cust, "},{", key + 1, ",NULL},{3,", cust, "}}")
+    cube = F.when(key % 3 == 0, text("{{{", cust, "},{}}}")).otherwise(text("{{{", cust, "}}}"))
+    return load(spark, sf, "orders").select(
+        "o_orderkey",
+        V.from_text("text[][]", labels).alias("labels"),
+        V.from_text("int8[][]", numbers).alias("numbers"),
+        V.from_text("float8[][][]", cube).alias("cube"),
+    )
+
+
+NETWORK = """
+SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS inet, regexp_extract(url, '://([^/?#]*)', 1) || '/24' AS cidr,
+       md5(url) AS uuid, substr(md5(url), 1, 17) AS macaddr, '[' || page_id || ',' || (page_id + 5) || ')' AS int4range,
+       '["' || page_id || '",)' AS tstzrange FROM pages"""
+
+
+@query(NETWORK)
+def text_types(spark, sf):
+    """Types that stay text: addresses, ids, ranges. From text and from tagged values alike."""
+    load(spark, sf, "pages").createOrReplaceTempView("pages")
+    rows = spark.sql(NETWORK)
+    kinds = [c for c in rows.columns if c != "page_id"]
+    none = lambda t: F.lit(None).cast(t)
+
+    def datum(c):
+        fields = [F.col(c).alias(f.name) if f.name == "datum_string" else none(f.dataType).alias(f.name) for f in DATUM]
+        return F.struct(*fields)
+
+    same = [F.when(V.from_text(k, F.col(k)).eqNullSafe(V.from_datum(k, datum(k))), V.from_text(k, F.col(k))).alias(k) for k in kinds]
+    return rows.select("page_id", *same)
+
+
+@query("""
+SELECT o_orderkey, NULL::VARCHAR AS left_out, lower(hex(encode(o_orderpriority))) AS kept,
+       CASE WHEN o_orderkey % 2 = 0 THEN '0101000000' || repeat('0', 32) END AS shape, o_orderstatus AS citext
+FROM orders""")
+def unknown_types(spark, sf):
+    """Values of types without a rule are left out, or stay bytes if asked for."""
+    octets = F.encode("o_orderpriority", "UTF-8")
+    shape = F.when(F.col("o_orderkey") % 2 == 0, F.lit("0101000000" + "0" * 32)).otherwise("no geometry")
+
+    def datum(**given):
+        return F.struct(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in DATUM])
+
+    return load(spark, sf, "orders").select(
+        "o_orderkey",
+        F.lower(F.hex(V.from_datum("unknown", datum(datum_bytes=octets)))).alias("left_out"),
+        F.lower(F.hex(V.from_datum("unknown", datum(datum_bytes=octets), {"include_unknown": True}))).alias("kept"),
+        F.lower(F.hex(V.from_datum("geometry", datum(datum_string=shape))["wkb"])).alias("shape"),
+        V.from_datum("citext", datum(datum_string=F.col("o_orderstatus"))).alias("citext"),
+    )
