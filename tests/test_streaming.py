@@ -7,8 +7,10 @@ from conftest import rows
 from test_merge import SCHEMA as CHANGES
 from test_merge import random_changes, replay, table
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.plans.keyed_table import KeyedTable, stream_name
+from tidemark.plans.keyed_table import KeyedTable, stream_name, wider_type
+from tidemark.plans.snapshot_modes import Plan
 from tidemark.streaming import apply as A
 
 LOG = CHANGES + ", lsn long, txid long"
@@ -167,8 +169,8 @@ def test_capture_modes(spark, log, target, tmp_path):
     shape = "key int, a string, b int, big string"
     taken = []
 
-    def snapshot():
-        taken.append(1)
+    def snapshot(query, position):
+        taken.append((query, position))
         return spark.createDataFrame(table(state), shape)
 
     def start(mode, **options):
@@ -190,4 +192,72 @@ def test_capture_modes(spark, log, target, tmp_path):
     start("never")
     assert content(spark, target) == table(replay(log.rows))
     start("always")
+    assert taken == [(None, 200)] * 2
+
+
+def test_a_snapshot_obeys_its_plan(spark, log, target, tmp_path):
+    log.append(random_changes(1, 30))
+    taken = []
+
+    def snapshot(query, position):
+        taken.append((query, position))
+        state = replay([c for c in log.rows if 100 + c[0] * 10 <= position])
+        rows = spark.createDataFrame(table(state), "key int, a string, b int, big string")
+        return rows if query is None else rows.filter(query)
+
+    def start(mode, checkpoint="c", **options):
+        query = A.capture(spark, mode, target, snapshot, 300, log.stream, str(tmp_path / checkpoint), **options)
+        query.awaitTermination()
+
+    with pytest.raises(ValueError):
+        start("exported")  # nobody says where the log starts
+    start("exported", log_start=200)
+    assert taken == [(None, 200)] and content(spark, target) == table(replay(log.rows))
+    # the position stays with the table, also when it is compacted and another run names another one
+    target.compact(spark)
+    assert target.snapshot_lsn(spark) == 200
+    start("initial", "d")
+    assert len(taken) == 1 and content(spark, target) == table(replay(log.rows))
+    rule = lambda saved: Plan(True, True, False, lambda name: f"key = {name}")
+    start("custom", "e", custom=rule, name="3")
+    assert taken[1:] == [("key = 3", 300)]
+    later = [c for c in log.rows if 100 + c[0] * 10 > 300 or c[1] == 3]
+    assert content(spark, target) == table(replay(later))
+    # a rule without a query for the table takes no snapshot of it
+    start("custom", "f", custom=lambda saved: Plan(True, True, False, lambda name: None))
     assert len(taken) == 2
+
+
+def test_a_table_takes_on_columns_and_wider_types(spark, tmp_path):
+    target = KeyedTable(str(tmp_path / "table"), "key int, a int", ("key",), ("big",), evolves=True)
+    none = "_unchanged array<string>"
+    target.write_batch(spark.createDataFrame([(1, "c", 1, 7, []), (2, "c", 2, 8, [])], f"seq long, op string, key int, a int, {none}"), 0)
+    assert target.read(spark).dtypes == [("key", "int"), ("a", "int")]
+    wide = f"seq long, op string, key bigint, a double, big string, {none}"
+    target.write_batch(spark.createDataFrame([(3, "u", 2, 0.5, "x", []), (4, "c", 3, 9.0, "y", [])], wide), 1)
+    assert target.read(spark).dtypes == [("key", "bigint"), ("a", "double"), ("big", "string")]
+    assert rows(target.read(spark)) == [(1, 7.0, None), (2, 0.5, "x"), (3, 9.0, "y")]
+    # a change of the old shape and one that leaves the new column as it was
+    target.write_batch(spark.createDataFrame([(5, "u", 1, 6, [])], f"seq long, op string, key int, a int, {none}"), 2)
+    target.compact(spark)
+    target.write_batch(spark.createDataFrame([(6, "u", 3, 1.5, None, ["big"])], wide), 3)
+    assert rows(target.read(spark)) == [(1, 6.0, None), (2, 0.5, "x"), (3, 1.5, "y")]
+    with pytest.raises(ValueError, match="no type holds"):
+        target.write_batch(spark.createDataFrame([(7, "u", 3, "no", [])], f"seq long, op string, key int, a string, {none}"), 4)
+    assert target.last_batch(spark) == 3
+
+
+def test_wider_types():
+    decimal = T.DecimalType
+    for a, b, want in [
+        (T.ByteType(), T.LongType(), T.LongType()), (T.IntegerType(), T.DoubleType(), T.DoubleType()),
+        (T.FloatType(), T.ShortType(), T.FloatType()), (decimal(10, 2), decimal(9, 4), decimal(12, 4)),
+        (T.LongType(), decimal(10, 2), decimal(22, 2)), (T.DateType(), T.TimestampType(), T.TimestampType()),
+        (T.LongType(), T.DoubleType(), None), (T.StringType(), T.IntegerType(), None), (decimal(38, 0), decimal(38, 2), None),
+    ]:
+        for x, y in ((a, b), (b, a)):
+            if want is None:
+                with pytest.raises(ValueError):
+                    wider_type(x, y)
+            else:
+                assert wider_type(x, y) == want

@@ -13,17 +13,66 @@ import hashlib
 import time
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.operators.merge import fold_changes, from_folded, merge_folded
 
+#: ``max_lsn`` of a base is the position its snapshot was taken at; ``columns`` the table's as of then
 MANIFEST = (
     "kind string, batch long, folder string, version long, "
-    "rows_in long, rows_out long, max_lsn long, stream string, covers long"
+    "rows_in long, rows_out long, max_lsn long, stream string, covers long, columns string"
 )
+#: columns of a change that are none of the table's
+CHANGE_COLUMNS = ("op", "_unchanged")
+WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+DIGITS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 20}
+
+
+def ddl(shape: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shape)
+
+
+def wider_type(old: T.DataType, new: T.DataType) -> T.DataType:
+    """The type that holds the values of both exactly; an error if none does."""
+    if old == new:
+        return old
+    if old in WHOLE and new in WHOLE:
+        return max(old, new, key=WHOLE.index)
+    small = {T.ByteType(), T.ShortType(), T.IntegerType(), T.FloatType()}
+    for a, b in ((old, new), (new, old)):
+        if isinstance(b, T.DoubleType) and a in small:
+            return b
+        if isinstance(b, T.FloatType) and a in (T.ByteType(), T.ShortType()):
+            return b
+        if isinstance(b, T.TimestampType) and isinstance(a, T.DateType):
+            return b
+    if all(isinstance(t, T.DecimalType) or t in WHOLE for t in (old, new)):
+        scale = max(getattr(t, "scale", 0) for t in (old, new))
+        digits = max(DIGITS.get(t) or t.precision - t.scale for t in (old, new))
+        if digits + scale <= 38:
+            return T.DecimalType(digits + scale, scale)
+    raise ValueError(f"no type holds both {old.simpleString()} and {new.simpleString()}")
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """``old`` with the new columns of ``new`` added and shared ones made wide enough. No column goes."""
+    types = {f.name: f.dataType for f in old}
+    for f in new:
+        types[f.name] = wider_type(types[f.name], f.dataType) if f.name in types else f.dataType
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+def fitted(rows: DataFrame, shape: T.StructType, more: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``shape``: wider types, null where a column was not there yet."""
+    has = set(rows.columns)
+    return rows.select(
+        *[(F.col(f.name).cast(f.dataType) if f.name in has else F.lit(None).cast(f.dataType)).alias(f.name) for f in shape], *more
+    )
 
 
 def stream_name(stream: str) -> str:
@@ -36,7 +85,9 @@ class KeyedTable:
     """Where a table lives and what its rows look like.
 
     ``schema`` is DDL for keys and columns; ``large`` lists the columns that changes may
-    mark as unchanged.
+    mark as unchanged. A table that ``evolves`` takes on columns that changes bring along and
+    widens types where they need it; what was written before is read as the table is now.
+    Columns that changes no longer have stay, and are null in new rows.
     """
 
     path: str
@@ -44,9 +95,19 @@ class KeyedTable:
     keys: tuple[str, ...]
     large: tuple[str, ...] = ()
     seq: str = "seq"
+    evolves: bool = False
+
+    def shape(self, spark: SparkSession) -> T.StructType:
+        """The table's columns and types as of its last batch."""
+        shape = T.StructType.fromDDL(self.schema)
+        if self.evolves:
+            rows = self.manifest(spark).filter("columns IS NOT NULL").orderBy("version").select("columns").collect()
+            for columns in dict.fromkeys(r[0] for r in rows):  # one per version of the columns
+                shape = widened(shape, T.StructType.fromDDL(columns))
+        return shape
 
     def names(self, spark: SparkSession) -> list[str]:
-        return spark.createDataFrame([], self.schema).columns
+        return self.shape(spark).names
 
     def columns(self, spark: SparkSession) -> list[str]:
         return [c for c in self.names(spark) if c not in self.keys]
@@ -87,13 +148,17 @@ class KeyedTable:
         if last is not None and batch <= last:
             return
         covers = self._version(spark) if emptied else None
-        folded = fold_changes(
-            changes, list(self.keys), self.columns(spark), self.seq, list(self.large)
-        )
+        shape = self.shape(spark)
+        if self.evolves:
+            own = T.StructType([f for f in changes.schema if f.name not in (*CHANGE_COLUMNS, self.seq)])
+            shape = widened(shape, own)
+            changes = fitted(changes, shape, [self.seq, *CHANGE_COLUMNS])
+        columns = [c for c in shape.names if c not in self.keys]
+        folded = fold_changes(changes, list(self.keys), columns, self.seq, list(self.large))
         folder = f"{stream_name(stream)}-{batch}"
         folded.write.mode("overwrite").parquet(f"{self.path}/delta/{folder}")
         rows_out = spark.read.parquet(f"{self.path}/delta/{folder}").count()
-        self._finish(spark, ("delta", batch, folder, rows_in, rows_out, max_lsn, stream, covers))
+        self._finish(spark, ("delta", batch, folder, rows_in, rows_out, max_lsn, stream, covers, ddl(shape)))
 
     def _finish(self, spark: SparkSession, entry: tuple) -> None:
         kind, batch, folder, *rest = entry
@@ -102,37 +167,46 @@ class KeyedTable:
             f"{self.path}/manifest"
         )
 
-    def _state(self, spark: SparkSession) -> tuple[str | None, list[str]]:
-        """Folder of the base, and of the batches since: a row for each batch since ``compact``."""
+    def _state(self, spark: SparkSession) -> tuple[tuple | None, dict[str | None, list[str]]]:
+        """Folder and columns of the base; folders of the batches since, by their columns.
+
+        There is a row for each batch since ``compact``.
+        """
         rows = self.manifest(spark).filter("kind in ('base', 'delta')")
         start = rows.filter("covers is not null").agg(
-            F.max("covers").alias("covers"), F.max_by(F.struct("kind", "folder"), "version").alias("at")
+            F.max("covers").alias("covers"), F.max_by(F.struct("kind", "folder", "columns"), "version").alias("at")
         ).first()
         since = rows.filter("kind = 'delta'")
         if start.covers is not None:
             since = since.filter(F.col("version") > start.covers)
-        base = start.at.folder if start.at is not None and start.at.kind == "base" else None
-        return base, sorted(r[0] for r in since.select("folder").distinct().collect())
-
-    def _deltas(self, spark: SparkSession, folders: list[str]) -> DataFrame:
-        shape = spark.createDataFrame([], self.schema).schema
-        schema = ", ".join(
-            [f"`{f.name}` {f.dataType.simpleString()}" for f in shape]
-            + ["op string", f"{self.seq} long", "_unchanged array<string>"]
-        )
-        return spark.read.schema(schema).parquet(*[f"{self.path}/delta/{f}" for f in folders])
+        base = (start.at.folder, start.at.columns) if start.at is not None and start.at.kind == "base" else None
+        folders: dict[str | None, list[str]] = {}
+        for folder, columns in sorted(since.groupBy("folder").agg(F.max_by("columns", "version")).collect()):
+            folders.setdefault(columns, []).append(folder)
+        return base, folders
+
+    def _deltas(self, spark: SparkSession, folders: dict[str | None, list[str]], shape: T.StructType) -> DataFrame:
+        """The folded batches; each is read with the columns it was written with."""
+        parts = []
+        for columns, some in folders.items():
+            schema = f"{columns or self.schema}, op string, `{self.seq}` long, _unchanged array<string>"
+            rows = spark.read.schema(schema).parquet(*[f"{self.path}/delta/{f}" for f in some])
+            parts.append(fitted(rows, shape, ["op", self.seq, "_unchanged"]))
+        return reduce(DataFrame.unionByName, parts)
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The table as of its last finished batch."""
         base, folders = self._state(spark)
-        columns, keys = self.columns(spark), list(self.keys)
+        shape, keys = self.shape(spark), list(self.keys)
+        columns = [c for c in shape.names if c not in keys]
         old = None
         if base is not None:
-            old = spark.read.schema(self.schema).parquet(f"{self.path}/base/{base}")
+            folder, written = base
+            old = fitted(spark.read.schema(written or self.schema).parquet(f"{self.path}/base/{folder}"), shape, [])
         if not folders:
-            return spark.createDataFrame([], self.schema) if old is None else old
+            return spark.createDataFrame([], shape) if old is None else old
         folded = fold_changes(
-            self._deltas(spark, folders), keys, columns, self.seq, list(self.large)
+            self._deltas(spark, folders, shape), keys, columns, self.seq, list(self.large)
         )
         if old is None:
             return from_folded(folded, keys, columns)
@@ -140,7 +214,11 @@ class KeyedTable:
 
     def begin_snapshot(self, spark: SparkSession) -> None:
         """Note that a snapshot was begun; it is complete once ``replace`` has run."""
-        self._finish(spark, ("snapshot", *[None] * 7))
+        self._finish(spark, ("snapshot", *[None] * 8))
+
+    def snapshot_lsn(self, spark: SparkSession) -> int | None:
+        """The position of the snapshot that the table holds; changes up to it are part of it."""
+        return self.manifest(spark).agg(F.max_by("max_lsn", F.when(F.col("kind") == "base", F.col("version")))).first()[0]
 
     def snapshot_state(self, spark: SparkSession) -> str:
         """``none``, ``unfinished`` or ``finished``: what an earlier run left behind."""
@@ -156,12 +234,16 @@ class KeyedTable:
     def compact(self, spark: SparkSession) -> None:
         """Write the whole table as a new base; later reads start from it."""
         covers = self._version(spark)  # before the read, so a batch that ends meanwhile stays
-        self.replace(self.read(spark), covers)
+        self.replace(self.read(spark), covers, self.snapshot_lsn(spark))
 
-    def replace(self, rows: DataFrame, covers: int | None = None) -> None:
-        """Make ``rows`` the whole table as of the last batch, e.g. a fresh snapshot."""
+    def replace(self, rows: DataFrame, covers: int | None = None, lsn: int | None = None) -> None:
+        """Make ``rows`` the whole table as of the last batch, e.g. a fresh snapshot taken at ``lsn``."""
         spark = rows.sparkSession
         covers = self._version(spark) if covers is None else covers
         folder = f"upto={covers}-{uuid.uuid4().hex}"
-        rows.select(*self.names(spark)).write.parquet(f"{self.path}/base/{folder}")
-        self._finish(spark, ("base", None, folder, None, None, None, None, covers))
+        shape = self.shape(spark)
+        if self.evolves:
+            shape = widened(shape, rows.schema)
+            rows = fitted(rows, shape, [])
+        rows.select(*shape.names).write.parquet(f"{self.path}/base/{folder}")
+        self._finish(spark, ("base", None, folder, None, None, lsn, None, covers, ddl(shape)))

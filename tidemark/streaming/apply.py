@@ -69,7 +69,7 @@ def apply_stream(
 def reached(spark: SparkSession, table: KeyedTable, stop: int) -> bool:
     """Whether a finished batch got to a position."""
     at = L.rank(F.col("max_lsn")) >= L.rank(F.lit(stop).cast("long"))
-    return bool(table.manifest(spark).agg(F.bool_or(at)).first()[0])
+    return bool(table.manifest(spark).filter("kind = 'delta'").agg(F.bool_or(at)).first()[0])
 
 
 def write_transactions(rows: DataFrame, path: str, number: int, stream: str = "") -> None:
@@ -126,23 +126,33 @@ def capture(
     spark: SparkSession,
     mode: str,
     table: KeyedTable,
-    snapshot: Callable[[], DataFrame],
+    snapshot: Callable[[str | None, int | None], DataFrame],
     snapshot_lsn: int | None,
     stream: Callable[[], DataFrame],
     checkpoint: str,
     decode: Callable[[DataFrame], DataFrame] = lambda df: df,
     custom: Callable[[str], Plan] | None = None,
+    log_start: int | None = None,
+    name: str = "",
     **options,
 ):
     """Run what a snapshot mode asks for, given what an earlier run left behind.
 
-    ``snapshot`` reads the table as of ``snapshot_lsn``. Returns the stream's query, or
-    None if the mode does not stream.
+    ``snapshot(query, position)`` reads the table as of a position: all of it if ``query`` is None.
+    A plan that wants the snapshot at the log's start gets it at ``log_start``, others at
+    ``snapshot_lsn``. A plan with a query per table asks it for ``name``; without a query the table has
+    no snapshot, only its stream. The position is kept with the table: changes up to it
+    are part of the snapshot and are left out, also by later runs that take none. Returns
+    the stream's query, or None if the mode does not stream.
     """
     todo = plan(mode, table.snapshot_state(spark), custom)
-    if todo.snapshot:
+    query = todo.select(name) if todo.select is not None else None
+    if todo.snapshot and (todo.select is None or query is not None):
+        if todo.at_log_start and log_start is None:
+            raise ValueError(f"mode {mode} takes the snapshot where the log starts, so it needs that position")
+        at = log_start if todo.at_log_start else snapshot_lsn
         table.begin_snapshot(spark)
-        table.replace(snapshot())
+        table.replace(snapshot(query, at), lsn=at)
     if not todo.stream:
         return None
-    return apply_stream(stream(), table, checkpoint, decode, after_lsn=snapshot_lsn, **options)
+    return apply_stream(stream(), table, checkpoint, decode, after_lsn=table.snapshot_lsn(spark), **options)

@@ -14,8 +14,10 @@ from tidemark.operators import positions as P
 from tidemark.operators import sinks as S
 from tidemark.operators import transactions as T
 from tidemark.plans.keyed_table import KeyedTable
+from tidemark.plans.snapshot_modes import Plan
 from tidemark.session import shared_dir
 from tidemark.sources.changes import decode_changes, supported, table_changes
+from tidemark.sources.log_source import stream_log
 from tidemark.streaming import apply as stream
 from workload.fixtures import CHANGES, LOG, changes, load, log, raw_log
 from workload.sync_queries import ISO
@@ -406,23 +408,128 @@ def stream_progress(spark, sf):
     return stream.progress(spark, _streamed_table(spark, sf))
 
 
+class _Capture:
+    """A table that is captured from the events: by snapshots as of a position, and by the stream."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
+        self.root = f"{shared_dir(spark)}/tidemark/capture-{uuid.uuid4().hex}"
+        self.table = KeyedTable(
+            f"{self.root}/table", "key long, event_type string, value double, lsn long, props string", ("key",), ("props",)
+        )
+        self.changes = changes(spark, sf)
+        low, high = self.changes.agg(F.min("lsn"), F.max("lsn")).first()
+        self.quarter, self.middle, self.end = low + (high - low) // 4, low + (high - low) // 2, high
+        self.taken = []
+
+    def snapshot(self, query, position):
+        """The table as of a position, or what a query on it gives."""
+        self.taken.append((query, position))
+        rows = M.apply_changes(None, self.changes.filter(F.col("lsn") <= position), ["key"], VALUES, "seq", ["props"])
+        if query is None:
+            return rows
+        rows.createOrReplaceTempView("captured")
+        return self.spark.sql(query)
+
+    def run(self, mode, at, checkpoint="checkpoint", **options):
+        query = stream.capture(
+            self.spark, mode, self.table, self.snapshot, at, lambda: _event_changes(_stream(self.spark, self.sf)),
+            f"{self.root}/{checkpoint}", **options,
+        )
+        if query is not None:
+            query.awaitTermination()
+        return self.table.read(self.spark)
+
+
 @query(APPLY)
 def capture_initial(spark, sf):
-    """Mode initial: a snapshot as of the middle of the log, then the stream behind it."""
-    root = f"{shared_dir(spark)}/tidemark/capture-{uuid.uuid4().hex}"
+    """Mode initial: a snapshot as of the middle of the log, then the stream behind it; a second run only streams."""
+    job = _Capture(spark, sf)
+    job.run("initial", job.middle)
+    # a new checkpoint reads the log from its start: what the snapshot holds is left out all the same
+    return job.run("initial", job.quarter, "second")
+
+
+@query(APPLY)
+def capture_always(spark, sf):
+    """Mode always: a snapshot in each run, the second as of the end."""
+    job = _Capture(spark, sf)
+    job.run("always", job.quarter)
+    return job.run("always", job.end, "second")
+
+
+@query(APPLY.replace("FROM chg),\nl AS", "FROM chg WHERE lsn <= (SELECT min(lsn) + (max(lsn) - min(lsn)) // 2 FROM chg)),\nl AS"))
+def capture_initial_only(spark, sf):
+    """Mode initial_only: the snapshot and no stream, however often it runs."""
+    job = _Capture(spark, sf)
+    job.run("initial_only", job.middle)
+    return job.run("initial_only", job.end)
+
+
+@query(APPLY)
+def capture_never(spark, sf):
+    """Mode never: the whole log and no snapshot."""
+    job = _Capture(spark, sf)
+    rows = job.run("never", job.middle)
+    if job.taken:
+        raise AssertionError("mode never took a snapshot")
+    return rows
+
+
+@query(APPLY + """UNION ALL SELECT -1, 'taken at', 1, min(lsn) + (max(lsn) - min(lsn)) // 4, 'whole' FROM chg""")
+def capture_exported(spark, sf):
+    """Mode exported: the snapshot as of the position at which the log was opened, then all that follows.
+
+    The last row tells where the snapshot was taken.
+    """
+    job = _Capture(spark, sf)
+    rows = job.run("exported", job.end, log_start=job.quarter)
+    told = [(-1, "taken at", float(len(job.taken)), at, query or "whole") for query, at in job.taken]
+    return rows.unionByName(spark.createDataFrame(told, rows.schema).select(*rows.columns))
+
+
+@query(APPLY.replace("FROM chg),\nl AS",
+       "FROM chg WHERE key % 2 = 0 OR lsn > (SELECT min(lsn) + (max(lsn) - min(lsn)) // 4 FROM chg)),\nl AS"))
+def capture_custom(spark, sf):
+    """Mode custom: the user's rule takes the even keys only, at the log's start, and the stream behind it."""
+    job = _Capture(spark, sf)
+    rule = lambda saved: Plan(True, True, True, lambda name: f"SELECT * FROM captured WHERE key % 2 = 0 /* {name}, {saved} */")
+    return job.run("custom", job.end, custom=rule, log_start=job.quarter, name="events")
+
+
+@query(CHG + """, h AS (SELECT max(seq) // 2 AS h FROM chg),
+l AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS n FROM chg)
+SELECT key, event_type, CASE WHEN seq <= h THEN CAST(CAST(floor(value) AS INTEGER) AS DOUBLE) ELSE value END AS value,
+       CASE WHEN seq > h THEN txid END AS txid
+FROM l, h WHERE n = 1 AND op <> 'd'""")
+def evolved_table(spark, sf):
+    """Half-way through the log a column is widened and another one added; a base of the old shape is in between."""
+    root = f"{shared_dir(spark)}/tidemark/evolved-{uuid.uuid4().hex}"
+    table = KeyedTable(f"{root}/table", "key long, event_type string, value int", ("key",), (), evolves=True)
+    rows = changes(spark, sf).select("seq", "op", "key", "event_type", "value", "txid", F.array().cast("array<string>").alias("_unchanged"))
+    half = rows.agg(F.expr("max(seq) div 2")).first()[0]
+    old = rows.filter(F.col("seq") <= half).drop("txid").withColumn("value", F.floor("value").cast("int"))
+    quarter = F.col("seq") <= half // 2
+    table.write_batch(old.filter(quarter), 0)
+    table.compact(spark)
+    table.write_batch(old.filter(~quarter), 1)
+    table.write_batch(rows.filter(F.col("seq") > half), 2)
+    return table.read(spark)
+
+
+@query(APPLY)
+def stream_from_source(spark, sf):
+    """The log as a source of its own: a stream of bounded batches that is started four times."""
+    root = f"{shared_dir(spark)}/tidemark/log-{uuid.uuid4().hex}"
     table = KeyedTable(
-        f"{root}/table", "key long, event_type string, value double, lsn long, props string",
-        ("key",), ("props",),
-    )
-    chg = changes(spark, sf)
-    middle = chg.agg(F.expr("min(lsn) + (max(lsn) - min(lsn)) div 2")).first()[0]
-    head = chg.filter(F.col("lsn") <= middle)
-    query = stream.capture(
-        spark, "initial", table,
-        lambda: M.apply_changes(None, head, ["key"], VALUES, "seq", ["props"]),
-        middle, lambda: _event_changes(_stream(spark, sf)), f"{root}/checkpoint",
-    )
-    query.awaitTermination()
+        f"{root}/table", "key long, event_type string, value double, lsn long, props string", ("key",), ("props",)
+    )
+    rows = changes(spark, sf).select("seq", "lsn", "op", "key", "event_type", "value", "props", "_unchanged")
+    rows.repartitionByRange(12, "lsn").sortWithinPartitions("lsn").write.parquet(f"{root}/log")
+    third = -(-rows.count() // 3)
+    for _ in range(4):
+        part = stream_log(spark, f"{root}/log", rows.schema, f"{root}/checkpoint", third)
+        stream.apply_stream(part, table, f"{root}/checkpoint").awaitTermination()
     return table.read(spark)
 
 
