@@ -45,6 +45,20 @@ def test_bpe_of_long_pretokens(library):
         assert bpe.merge(word.encode(), codec.ranks) == library.encode_ordinary(word)
 
 
+def test_bpe_of_many_pretokens_at_once(library, monkeypatch):
+    rng = random.Random(5)
+    codec = bpe.Codec(RANKS, public_tokenizers.PATTERN)
+    words = ["".join(rng.choice("aeinorst hélß日") for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    got = bpe.merge_all([w.encode() for w in words], codec.ranks, codec.pairs)
+    assert got == [library._encode_single_piece(w.encode()) if w else [] for w in words]
+    assert bpe.merge_all([], codec.ranks, codec.pairs) == [] and bpe.merge_all([b"", b"a"], codec.ranks, codec.pairs)[0] == []
+    # a merge may make a pair of lower rank, which then goes first
+    ranks = {bytes([i]): i for i in range(256)} | {b"bc": 500, b"abc": 300, b"bcd": 600, b"abcd": 310}
+    assert bpe.merge_all([b"abcd", b"xbcbcabc"], ranks, bpe.byte_pairs(ranks)) == [[310], [120, 500, 500, 300]]
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 10)
+    assert [g for g in bpe.text_groups(["a" * 9, None, "b", "c" * 30, "d"])] == [["a" * 9, "", "b"], ["c" * 30], ["d"]]
+
+
 def test_bpe_repeated_null_ids_and_nothing(spark):
     got = bpe.encode_documents(documents(spark, ["a", "a", None], [None, 3, 3]), RANKS, public_tokenizers.PATTERN)
     assert sorted(r.n_tokens for r in got.collect()) == [0, 1, 1]

@@ -22,6 +22,7 @@ import re
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import text_groups
 from tidemark.llm.common import arrow_map
 from tidemark.plans.scratch import materialise
 
@@ -63,19 +64,29 @@ class Encoder:
         ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1  # a word's last token is marked as such
         if len(cuts) == len(words):
-            self.memo.update(zip(words, [x.tobytes() for x in np.split(ids, cuts[:-1])]))
+            octets, places = ids.tobytes(), (4 * cuts).tolist()
+            self.memo.update(zip(words, [octets[a:b] for a, b in zip([0, *places], places)]))
         else:
             self.memo.update((w, self.whole(w)) for w in words)
 
-    def encode(self, text: str) -> np.ndarray:
-        if not PLAIN.fullmatch(text) or any(s in text for s in self.special) or not unicodedata.is_normalized("NFC", text):
-            return np.frombuffer(self.whole(text), dtype="<u4")
-        words = WORDS.findall(text)
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text, four bytes each. The new words of all texts are learnt together."""
+        words = [
+            WORDS.findall(t)
+            if PLAIN.fullmatch(t) and not any(s in t for s in self.special) and unicodedata.is_normalized("NFC", t)
+            else None
+            for t in texts
+        ]
         if len(self.memo) > MEMO:
             self.memo = {}
-        if new := list(set(words).difference(self.memo)):
+        if new := list(set().union(*(w for w in words if w is not None)).difference(self.memo)):
             self.learn(new)
-        return np.frombuffer(b"".join(map(self.memo.__getitem__, words)), dtype="<u4")
+        known = self.memo.__getitem__
+        for text, found in zip(texts, words):
+            yield self.whole(text) if found is None else b"".join(map(known, found))
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(next(self.encode_all([text])), dtype="<u4")
 
 
 @lru_cache(maxsize=2)
@@ -89,22 +100,32 @@ def cut_documents(docs: DataFrame, path: str, window: int = WINDOW, keep: bool =
     ``doc_id, start, length, ids_crc32, doc_tokens`` and with ``keep`` ``ids array<int>``.
     """
 
+    end, step = np.array([END_ID], dtype="<u4").tobytes(), 4 * window
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path)
         for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.append(own.encode(text or ""), np.array([END_ID], dtype="<u4")).astype("<u4")
-                for start in range(0, len(ids), window):
-                    piece = ids[start : start + window]
-                    rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids),
-                                 piece.astype(np.int32) if keep else None))
-            columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(5)]
+            sizes, sums, kept = [], [], []
+            for group in text_groups(batch.column(1).to_pylist()):
+                for ids in own.encode_all(group):
+                    ids += end
+                    sizes.append(len(ids) // 4)
+                    for at in range(0, len(ids), step):
+                        sums.append(zlib.crc32(ids[at : at + step]))
+                        if keep:
+                            kept.append(np.frombuffer(ids[at : at + step], dtype="<i4"))
+            # a row per piece: all are full windows but a document's last
+            tokens = np.array(sizes, dtype=np.int64)
+            pieces = -(-tokens // window)
+            row = np.repeat(np.arange(len(tokens)), pieces)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * window
+            columns = [batch.column(0).take(pa.array(row)), start, np.minimum(window, tokens[row] - start),
+                       np.array(sums, dtype=np.int64), tokens[row]]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             if keep:
-                columns.append(pa.array([r[5] for r in rows], pa.list_(pa.int32())))
+                columns.append(pa.array(kept, pa.list_(pa.int32())))
                 names.append("ids")
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=names)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
     rows = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
