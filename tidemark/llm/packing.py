@@ -31,6 +31,8 @@ WINDOW = 2048
 END_ID = 1
 #: Pre-tokens whose ids a worker remembers before it starts anew.
 MEMO = 600_000
+#: New words that the library is given in one line.
+LINE_WORDS = 200
 #: Pieces of one length that one task numbers.
 GROUP_ROWS = 50_000
 
@@ -61,7 +63,10 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        lines = [" ".join(words[i : i + LINE_WORDS]) for i in range(0, len(words), LINE_WORDS)]
+        # without offsets where the library can leave them out
+        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in batch(lines, add_special_tokens=False)])
         cuts = np.flatnonzero(self.ends[ids]) + 1  # a word's last token is marked as such
         if len(cuts) == len(words):
             octets, places = ids.tobytes(), (4 * cuts).tolist()
