@@ -77,7 +77,7 @@ class Encoder:
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text, four bytes each. The new words of all texts are learnt together."""
         words = [
-            WORDS.findall(t)
+            WORDS.findall(t.lower())  # as the tokenizer does, so that fewer words are new
             if PLAIN.fullmatch(t) and not any(s in t for s in self.special) and unicodedata.is_normalized("NFC", t)
             else None
             for t in texts
