@@ -3,6 +3,7 @@ import random
 import numpy as np
 from conftest import SMALL
 from llm_cases import documents, empty, texts, words
+from pyspark.sql import functions as F
 
 from tidemark.llm import quality
 
@@ -46,7 +47,9 @@ def test_awkward_rows(spark):
     rng = random.Random(5)
     rows = texts() + [words(rng, 60).title() + "." for _ in range(40)]
     df = documents(spark, rows, [i // 2 if i % 9 else None for i in range(len(rows))])
-    got = quality.classify(df, ["doc_id", "text", "kept"] if False else ["doc_id", "text"]).collect()
+    clashing = df.withColumns({"quality_score": F.lit("own"), "quality_posterior": F.lit(7)})
+    got = quality.classify(clashing, ["doc_id", "text", "kept", "quality_score", "quality_posterior"]).collect()
+    assert {(r.input_kept, r.input_quality_score, r.input_quality_posterior) for r in got} == {("other", "own", 7)}
     assert len(got) == len(rows)
     blank = [r for r in got if not (r.text or "").strip()]
     assert blank and all(r.quality_score == 0 and not r.kept for r in blank)

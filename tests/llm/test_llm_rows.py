@@ -79,9 +79,9 @@ def test_url_filter_equals_brute_force(spark):
     assert url_filter.url_filter(df.limit(0), url_filter.rule_table(spark, rules)).count() == 0
 
 
-def plain_shingles(text):
+def plain_shingles(text, k=5):
     ws = ["".join(c) for c in _words((text or "").lower())]
-    return [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+    return [tuple(ws[i : i + k]) for i in range(len(ws) - k + 1)]
 
 
 def _words(text):
@@ -99,13 +99,14 @@ def test_licenses_equal_brute_force(spark):
     t = licenses.TEMPLATES
     rows += [words + " " + text + " tail" for text in t.values() for words in ("", "some words before it here")]
     rows += [t["MIT notice"].upper(), t["MIT notice"].replace("granted", "given"), t["GPL notice"][:90], "x " * 50 + t["BSD notice"]]
-    rows += [t["CC-BY-NC-4.0 line"].replace("Licensed", "given"), " ".join(t.values()) * 2]
+    rows += [t["CC-BY-NC-4.0 line"].replace("Licensed", "given"), " ".join(t.values()) * 2, "spdx license  identifier (mit)", "identifier: MIT"]
+    assert any(len(list(_words(wanted.lower()))) < 5 for wanted in t.values())
     got = {(r.doc_id, r.template): (round(r.containment, 9), r.windows) for r in licenses.scan(documents(spark, rows), t).collect()}
     want = {}
     for i, text in enumerate(rows):
-        found = plain_shingles(text)
         for name, wanted in t.items():
-            need = set(plain_shingles(wanted))
+            k = min(5, len(list(_words(wanted.lower()))))
+            found, need = plain_shingles(text, k), set(plain_shingles(wanted, k))
             m = len(need)
             step, length = max(1, m // 8), m + (max(1, m // 8) if m >= 8 else 0)
             best = max((len(need & set(found[s : s + length])) / m for s in range(0, len(found), step)), default=0)

@@ -233,8 +233,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(labels, train(pairs, np.array([r[0] for r in rows])))
 
 
+#: names that the operator gives its results
+RESULTS = ("quality_score", "quality_posterior", "kept")
+
+
 def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
-    """``columns``, ``quality_score``, ``quality_posterior`` for every row of ``docs``."""
+    """``columns``, ``quality_score``, ``quality_posterior`` for every row of ``docs``.
+
+    A column named like one of ``RESULTS`` comes back as ``input_<name>``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,10 +252,11 @@ def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
             posterior = np.where(seen[:, -1] > 0, model.labels.posterior(votes(seen)), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(np.round(p, 6)), pa.array(np.round(posterior, 6))],
-                names=[*columns, "quality_score", "quality_posterior"],
+                names=[*names, "quality_score", "quality_posterior"],
             )
 
-    rows = docs.select(F.col("text").alias("_judged"), *columns)
+    names = [f"input_{c}" if c in RESULTS else c for c in columns]
+    rows = docs.select(F.col("text").alias("_judged"), *[F.col(c).alias(n) for c, n in zip(columns, names)])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
     return arrow_map(rows, run, f"{schema}, quality_score double, quality_posterior double")
 
@@ -259,7 +267,8 @@ def classify(docs: DataFrame, columns: list[str] = ["doc_id"], keep: float = KEE
     The score is the trained scorer's probability of good quality, the posterior is that
     of the votes alone. A null text or one without words has score 0 and is not kept.
     Rows are judged one by one, equal texts alike; ids may be null or repeat. Columns
-    other than ``text`` and ``columns`` are not read. Empty input, empty result.
+    other than ``text`` and ``columns`` are not read; one of ``columns`` that is named like a
+    result comes back as ``input_<name>``. Empty input, empty result.
     """
     model = fit(docs, sample)
     return score(docs, model, columns).withColumn("kept", F.col("quality_score") >= keep)
