@@ -16,7 +16,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_registered(spark):
     names = [n.split("_")[0] for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in entry.queries() and len(corpus_pipeline.STAGES) == 4
 
 
