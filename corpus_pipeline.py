@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import near_text, packing, quality, suffix_dedup
+from tidemark.llm import packing, quality, simhash, suffix_dedup
 from tidemark.llm.common import stored, table
 
 
@@ -25,21 +25,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (5-word shingles, Jaccard 0.8 or more): the
-    smallest id (nulls last), then the smallest text hash; of equal rows one stays."""
+    """One document of each near-duplicate group, by the SimHash operator with its 4-word shingles
+    and at most 4 differing bits: the smallest id (nulls last), then the smallest text hash; of
+    equal rows one stays."""
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     key, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
     mark = F.xxhash64(text, F.lit("row"))
     rows = plain.select(key.alias("doc_id"), text.alias("text"), mark.alias("mark"))
-    marked = stored(near_text.signatures(rows, ["doc_id", "mark"]), "signatures")
+    marked = stored(simhash.fingerprints(rows, ["doc_id", "mark"]), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    # one row per shingle set before the join, so a text copied very often is no hot key there
-    sets = marked.groupBy("node").agg(F.min(F.struct(order.alias("first"), "bands")).alias("x"))
-    nodes = stored(sets.select("node", "x.first", "x.bands"), "shingle-sets")
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
-    roots = near_text.classes(rows, nodes, same).withColumnRenamed("node", "linked")
-    lowest = nodes.join(roots, F.col("node") == F.col("linked"), "left")
-    lowest = lowest.select("first", F.coalesce("root", "node").alias("root"))
+    # one row per fingerprint before the join, so a text copied very often is no hot key there
+    lowest = marked.groupBy("fp").agg(F.min(order).alias("first")).join(simhash.classes(marked, "root"), "fp")
     # one row per group, and how many equal rows it stands for
     first = lowest.groupBy("root").agg(F.min("first").alias("first"))
     equal = marked.groupBy("doc_id", "mark").count()
