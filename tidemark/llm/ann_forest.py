@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import vectors as V
-from tidemark.llm.common import arrow_map
+from tidemark.llm.common import arrow_map, stored
+from tidemark.llm.hard_negatives import cells
 
 #: The forest is fitted on at most this many rows; every row is indexed.
 SAMPLE = 20_000
@@ -98,84 +99,119 @@ class Forest:
 
 
 def fit(rows: DataFrame, sample: int, trees: int, leaf: int, seed: int) -> dict[int, Forest]:
-    """A forest for each vector length, from a sample of at most ``sample`` rows."""
+    """A forest for each vector length, from a sample of at most ``sample`` rows.
+
+    The sample and its order depend on the rows alone, not on how they are dealt.
+    """
     share = min(1.0, 1.05 * sample / max(1, rows.count()))
-    picked = rows.filter(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 20)) < share * (1 << 20))
+    mark = F.xxhash64("vec_id", "vector", F.lit(seed))
+    picked = rows.select("vec_id", "vector", mark.alias("mark")).filter(
+        F.pmod("mark", F.lit(1 << 20)) < share * (1 << 20)
+    )
     by_size: dict[int, list] = {}
-    for (v,) in picked.select("vector").limit(sample).collect():
+    for (v,) in picked.orderBy("mark", "vec_id").limit(sample).select("vector").collect():
         by_size.setdefault(len(v), []).append(v)
     return {d: Forest(np.array(vs), trees, leaf, seed) for d, vs in by_size.items()}
 
 
-def _scan(sent, forests, k: int):
+def _indexed(forests):
+    """The leaf of each row in each tree; none for a length that the sample has not met."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, trees = sent.value, forests.value
-        ids = np.array([b[0] for b in block], dtype=np.int64)
-        best = V.Best(len(block), k)
-        groups = {}
-        for i, (_, vector, _) in enumerate(block):
-            groups.setdefault(len(vector), []).append(i)
-        for d, at in groups.items():
-            probes = [np.array(block[i][2], dtype=np.int64) for i in at]
-            groups[d] = (at, [np.array(block[i][1]) for i in at], probes,
-                         np.concatenate(probes), np.cumsum([0] + [len(p) for p in probes]))
         for batch in batches:
-            row_ids = batch.column(0).to_numpy()
-            for at, x in V.matrix(batch.column(1)):
-                d = x.shape[1]
-                if d not in groups:
-                    continue
-                queries, points, probes, flat, cuts = groups[d]
-                if d in trees:
-                    codes = trees[d].codes(x)
-                    order = np.argsort(codes, axis=None, kind="stable")
-                    sorted_codes, row_of = codes.ravel()[order], order % len(x)
-                    lo = np.searchsorted(sorted_codes, flat, "left")
-                    hi = np.searchsorted(sorted_codes, flat, "right")
-                for j, q in enumerate(queries):
-                    if d not in trees:  # a length that the sample has not met is searched in full
-                        near = np.arange(len(x))
-                    else:
-                        a, b = lo[cuts[j] : cuts[j + 1]], hi[cuts[j] : cuts[j + 1]]
-                        spans = [row_of[s:e] for s, e in zip(a.tolist(), b.tolist()) if s < e]
-                        if not spans:
-                            continue
-                        near = np.unique(np.concatenate(spans))
-                    near = near[row_ids[at[near]] != ids[q]]
-                    dist = np.sqrt(((x[near] - points[j]) ** 2).sum(axis=1))
-                    close = dist <= best.keys[q, -1]
-                    if close.any():
-                        best.add(q, dist[close], row_ids[at[near[close]]])
-        yield best.batch(ids)
+            leaves: list = [[]] * batch.num_rows
+            for at, x in V.matrix(batch.column(2)):
+                if x.shape[1] in forests.value:
+                    for i, row in zip(at.tolist(), forests.value[x.shape[1]].codes(x).T.astype(np.int32)):
+                        leaves[i] = row
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(leaves, pa.list_(pa.int32()))], names=["n", "vec_id", "vector", "leaves"]
+            )
 
     return run
 
 
-def nearest(embeddings: DataFrame, every: int, k: int, sample: int = SAMPLE, trees: int = TREES,
-            leaf: int = LEAF, share: float = SHARE, seed: int = 7) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k nearest found for ids divisible by ``every``.
-
-    Euclidean distance in double precision; ties go to the smaller id; a query is not its
-    own neighbour and meets vectors of its own length only. Null, empty, zero and
-    non-finite vectors take no part. Of rows with one id the smallest vector stands.
-    The forest is fitted on a bounded sample; each row then falls into one leaf of each
-    tree. A query takes ``share`` of the leaves from one priority queue over all trees, and the
-    rows in them are ranked by exact distance. Empty input, empty result.
-    """
-    spark = embeddings.sparkSession
-    valid, rows = V.prepared(embeddings, k, zero=False)
-    forests = spark.sparkContext.broadcast(fit(rows, sample, trees, leaf, seed))
+def _probed(forests, share: float):
+    """The leaves that the shared queue gives each query, as a bitmap."""
 
-    def place(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vectors = batch.column(1).to_pylist()
-            codes = [forests.value[len(v)].probe(np.array(v), share) if len(v) in forests.value else [] for v in vectors]
+            maps = []
+            for v in batch.column(2).to_pylist():
+                forest = forests.value.get(len(v))
+                if forest is None:
+                    maps.append(b"")
+                    continue
+                wanted = np.zeros(forest.stride * len(forest.trees), dtype=bool)
+                wanted[forest.probe(np.array(v), share)] = True
+                maps.append(np.packbits(wanted).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(codes, pa.list_(pa.int64()))],
-                names=["vec_id", "vector", "codes"],
+                [*batch.columns, pa.array(maps, pa.binary())], names=["n", "vec_id", "vector", "wanted"]
             )
 
-    picked = valid.filter(f"vec_id % {every} = 0")
-    queries = V.materialise(arrow_map(picked, place, "vec_id long, vector array<double>, codes array<long>"), "probes")
-    found = V.search(rows, queries, k, lambda sent: _scan(sent, forests, k), "nearest")
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("key").alias("score"))
+    return run
+
+
+def _search(k: int):
+    """Each query's k nearest among the rows of one cell that share a leaf with its probes."""
+
+    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
+        row_n, row_id = V.numbers(rows, "n"), V.numbers(rows, "vec_id")
+        own, own_id = V.numbers(queries, "n"), V.numbers(queries, "vec_id")
+        by_length = {x.shape[1]: (at, x) for at, x in V.matrices(rows)}
+        leaves = rows.column("leaves").combine_chunks() if len(row_n) else None
+        maps = queries.column("wanted").to_pylist()
+        none = np.empty(0, np.int64)
+        out = [[none], [none], [none], [np.empty(0)]]
+        for at, points in V.matrices(queries):
+            if points.shape[1] not in by_length:
+                continue
+            places, x = by_length[points.shape[1]]
+            codes = None
+            if maps[at[0]]:  # the length was met by the sample
+                _, codes = V.matrix(leaves.take(pa.array(places)))[0]
+                codes = np.ascontiguousarray(codes.T)
+            for i, point in zip(at.tolist(), points):
+                near = np.ones(len(x), dtype=bool)
+                if codes is not None:
+                    wanted = np.unpackbits(np.frombuffer(maps[i], np.uint8)).view(bool)
+                    near = wanted[codes].any(axis=0)
+                near = np.flatnonzero(near & (row_n[places] != own[i]))
+                dist = np.sqrt(((x[near] - point) ** 2).sum(axis=1))
+                if len(near) > k:
+                    close = dist <= np.partition(dist, k - 1)[k - 1]
+                    near, dist = near[close], dist[close]
+                ids = row_id[places[near]]
+                best = np.lexsort((ids, dist))[:k]
+                for o, values in zip(out, (np.full(len(best), own[i]), np.full(len(best), own_id[i]), ids[best], dist[best])):
+                    o.append(values)
+        return pa.table({c: np.concatenate(o) for c, o in zip(("query", "query_id", "vec_id", "score"), out)})
+
+    return run
+
+
+def nearest(embeddings: DataFrame, every: int, k: int, sample: int = SAMPLE, trees: int = TREES,
+            leaf: int = LEAF, share: float = SHARE, seed: int = 7, block_rows: int = V.BLOCK_ROWS,
+            block_queries: int = V.BLOCK_QUERIES) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the k nearest found for rows whose id is divisible by ``every``.
+
+    Euclidean distance in double precision; ties go to the smaller id; a query's own row is not its
+    neighbour and vectors meet those of their own length. Null, empty, zero and non-finite
+    vectors and null ids take no part. Rows are rows: those that repeat an id are further candidates
+    and queries, each query row with ranks of its own. The forest is fitted on a bounded sample; each
+    row then falls into one leaf of each tree. A query takes ``share`` of the leaves from one priority
+    queue over all trees, and the rows in them are ranked by exact distance. Rows and queries meet
+    in blocks, by a shuffle on two block numbers. Empty input, empty result.
+    """
+    spark = embeddings.sparkSession
+    valid = V.valid_vectors(embeddings, zero=False)
+    rows = stored(V.candidates(valid, k), "vector-rows")
+    forests = spark.sparkContext.broadcast(fit(rows, sample, trees, leaf, seed))
+    schema = "n long, vec_id long, vector array<double>"
+    index = stored(arrow_map(rows, _indexed(forests), f"{schema}, leaves array<int>"), "forest-index")
+    picked = valid.filter(f"vec_id % {every} = 0").repartition("n")
+    queries = stored(arrow_map(picked, _probed(forests, share), f"{schema}, wanted binary"), "probes")
+    found = cells(index, queries, block_rows, block_queries).applyInArrow(
+        _search(k), "query long, query_id long, vec_id long, score double"
+    )
+    return V.ranked(found, k, "score", "vec_id").select("query_id", "rank", "vec_id", "score")

@@ -1,47 +1,52 @@
-"""What both vector searches share: valid rows, query blocks, merging of partial results."""
+"""What both vector searches share: valid rows, candidates, matrices, ranks."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, written
-from tidemark.plans.scratch import materialise
+from tidemark.llm.common import stored
 
-#: Queries that one pass over the rows answers; the only part of the data that is broadcast.
-BLOCK = 4096
+#: Most rows and queries that meet in one task.
+BLOCK_ROWS = 32_768
+BLOCK_QUERIES = 2_048
 
 
-def valid_vectors(df: DataFrame, zero: bool) -> DataFrame:
-    """``vec_id, vector`` (doubles), one row per id.
+def valid_vectors(df: DataFrame, zero: bool, component=lambda x: x) -> DataFrame:
+    """``n, vec_id, vector`` of the rows that take part; ``n`` tells rows apart, also where ids repeat.
 
-    Null, empty and non-finite vectors and null ids take no part, nor do zero vectors
-    unless ``zero``. Of rows that share an id, the smallest vector in array order stands.
+    Null ids, null vectors and those with a null or non-finite component take no part, nor do
+    vectors without a component other than zero unless ``zero``. Components go through ``component``.
     """
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    keep = F.col("vec_id").isNotNull() & (F.size("vector") > 0) & finite
+    keep = F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite
     if not zero:
         keep = keep & F.exists("vector", lambda x: x != 0)
-    rows = df.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    return rows.filter(F.coalesce(keep, F.lit(False))).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+    rows = rows.filter(F.coalesce(keep, F.lit(False)))
+    rows = rows.select(F.monotonically_increasing_id().alias("n"), "vec_id", F.transform("vector", component).alias("vector"))
+    return stored(rows, "vectors")
 
 
 def candidates(vectors: DataFrame, k: int) -> DataFrame:
     """The rows that can be among the k best of any query.
 
     Equal vectors score alike and ties go to the smaller id, so of each group of equal
-    vectors only the k + 1 smallest ids can be in a result. Spark limits the groups
+    vectors only the k + 1 rows of smallest id can be in a result. Spark limits the groups
     before the shuffle, so one vector held by a third of all rows is no hot group.
     """
-    place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
+    place = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id", "n"))
     return vectors.withColumn("_place", place).filter(f"_place <= {k + 1}").drop("_place")
 
 
+def ranked(found: DataFrame, k: int, *order: Column | str) -> DataFrame:
+    """The first k rows of each ``query`` by ``order``, with their ``rank``."""
+    place = F.row_number().over(Window.partitionBy("query").orderBy(*order))
+    return found.withColumn("rank", place.cast("int")).filter(f"rank <= {k}")
+
+
 def matrix(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """Rows of a list column as (row numbers, matrix), one entry per vector length."""
     sizes = np.diff(column.offsets.to_numpy())
@@ -54,50 +59,20 @@ def matrix(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-class Best:
-    """The k best rows of each query, by ``(key, vec_id)`` ascending."""
-
-    def __init__(self, n: int, k: int):
-        self.k = k
-        self.keys = np.full((n, k), np.inf)
-        self.ids = np.full((n, k), np.iinfo(np.int64).max)
-
-    def add(self, q: int, keys: np.ndarray, ids: np.ndarray) -> None:
-        keys, ids = np.concatenate([self.keys[q], keys]), np.concatenate([self.ids[q], ids])
-        order = np.lexsort((ids, keys))[: self.k]
-        self.keys[q], self.ids[q] = keys[order], ids[order]
-
-    def batch(self, query_ids: np.ndarray) -> pa.RecordBatch:
-        q, place = np.nonzero(np.isfinite(self.keys))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(query_ids[q]), pa.array(self.ids[q, place]), pa.array(self.keys[q, place])],
-            names=["query_id", "vec_id", "key"],
-        )
-
-
-def search(rows: DataFrame, queries: DataFrame, k: int, worker: Callable, label: str) -> DataFrame:
-    """``query_id, rank, vec_id, key``: the k rows of the smallest key for each query.
-
-    ``queries`` has one row per ``vec_id``; they are cut into blocks of about ``BLOCK``
-    by a hash of the id. Each block is sent to all tasks in one pass over ``rows``;
-    ``worker(block)`` gives the function that maps a task's Arrow batches to its k best
-    per query. A pass is written before the next begins, so a lost executor costs one.
-    """
-    spark = rows.sparkSession
-    blocks = max(1, math.ceil(queries.count() / BLOCK))
+def matrices(table: pa.Table, name: str = "vector") -> list[tuple[np.ndarray, np.ndarray]]:
+    column = table.column(name).combine_chunks()
+    return matrix(column) if len(column) else []
 
-    def passes():
-        for b in range(blocks):
-            block = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).orderBy("vec_id").collect()
-            sent = spark.sparkContext.broadcast([tuple(r) for r in block])
-            found = arrow_map(rows, worker(sent), "query_id long, vec_id long, key double")
-            place = F.row_number().over(Window.partitionBy("query_id").orderBy("key", "vec_id"))
-            yield found.withColumn("rank", place).filter(f"rank <= {k}").select("query_id", "rank", "vec_id", "key")
 
-    return written(spark, passes(), label)
+def numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
 
 
-def prepared(df: DataFrame, k: int, zero: bool) -> tuple[DataFrame, DataFrame]:
-    """Written tables of all valid vectors and of the rows that can be in a result."""
-    every = materialise(valid_vectors(df, zero), "vectors")
-    return every, materialise(candidates(every, k), "vector-rows")
+def own_places(query_n: np.ndarray, row_n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the queries' own rows in a (queries, rows) matrix."""
+    if not len(row_n):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(row_n)
+    at = np.searchsorted(row_n, query_n, sorter=order).clip(max=len(row_n) - 1)
+    found = row_n[order[at]] == query_n
+    return np.flatnonzero(found), order[at][found]
