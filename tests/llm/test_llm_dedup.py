@@ -158,6 +158,34 @@ def test_forest_joins_all_linked():
     assert [find(i) for i in range(len(fps))] == want
 
 
+def test_crowded_keys_join_all_linked(spark, monkeypatch):
+    """Close and chained fingerprints whose keys are all over the bound, and with no key over it."""
+    rng = random.Random(6)
+    fps = {rng.getrandbits(64) for _ in range(20)}
+    for base in list(fps)[:6]:
+        at = base
+        for _ in range(25):
+            at ^= sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5)))
+            fps |= {at, base ^ (1 << rng.randrange(64))}
+    fps = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
+    want = reference_components([f % (1 << 64) for f in fps])
+    marked = spark.createDataFrame(list(enumerate(fps)), "doc_id long, fp long").repartition(3)
+    order = {f: i for i, f in enumerate(fps)}
+    for hot in (simhash.HOT, 3, 0):
+        monkeypatch.setattr(simhash, "HOT", hot)
+        got = {order[r.fp]: r.component_id for r in simhash.classes(marked).collect()}
+        assert [got[i] for i in range(len(fps))] == want
+
+
+def test_ball_links_are_within_four_bits_and_bounded(spark):
+    rng = random.Random(9)
+    base = rng.getrandbits(63)
+    fps = list({base ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 2))) for _ in range(60)})
+    links = simhash.ball_links(spark.createDataFrame([(f,) for f in fps], "fp long")).collect()
+    assert all((r.a ^ r.b).bit_count() <= 4 for r in links)
+    assert {r.b for r in links} | {min(fps)} == set(fps)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}

@@ -14,6 +14,10 @@ fingerprints differ in at most 4 bits, one of two things holds:
   bit away. Key: a codeword of either segment, and whether their parities agree.
 
 So no link is missed. Fingerprints that share a key are compared bit by bit.
+
+A key of very many different fingerprints would be one task's work. Its fingerprints meet in another
+way: two of them differ in at most 4 bits if and only if some word is within 2 bits of both. No
+word has more than 2,081 fingerprints within 2 bits, and all of those are linked.
 """
 
 from __future__ import annotations
@@ -41,6 +45,8 @@ GENERATOR = 0b110001110101
 CHUNK = 1 << 16
 #: Comparisons made at once inside a key.
 CELLS = 1 << 22
+#: Keys of more different fingerprints than this are not compared in one task.
+HOT = 50_000
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -221,7 +227,25 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
                 )
 
     keyed = arrow_map(fps.select("fp"), expand, "key long, fp long")
-    return arrow_map(keyed.repartition("key").sortWithinPartitions("key"), _links, "a long, b long")
+    hot = materialise(keyed.groupBy("key").count().filter(F.col("count") > HOT).select("key"), "hot-keys")
+    cold = keyed.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key")
+    crowded = materialise(keyed.join(hot, "key", "left_semi").select("fp").distinct(), "crowded")
+    return arrow_map(cold, _links, "a long, b long").unionByName(ball_links(crowded))
+
+
+def ball_links(fps: DataFrame) -> DataFrame:
+    """Links ``a, b`` that join ``fps`` (distinct) within 4 bits, through the words within 2 bits.
+
+    A word's fingerprints, 2,081 at most, are linked to its smallest one; work and rows are in
+    proportion to the fingerprints, however alike they are.
+    """
+    bit = lambda i: F.when(F.col(i) < 64, F.expr(f"shiftleft(1L, {i})")).otherwise(F.lit(0).cast("long"))
+    words = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("i"))  # 64: no bit
+    words = words.select("fp", "i", F.explode(F.sequence(F.least(F.col("i") + 1, F.lit(64)), F.lit(64))).alias("j"))
+    words = words.select("fp", F.col("fp").bitwiseXOR(bit("i")).bitwiseXOR(bit("j")).alias("word"))
+    near = words.groupBy("word").agg(F.collect_list("fp").alias("near")).filter(F.size("near") > 1)
+    linked = near.select(F.array_min("near").alias("a"), F.explode("near").alias("b"))
+    return linked.filter("a <> b").distinct()
 
 
 def classes(marked: DataFrame, of: str = "component_id") -> DataFrame:
