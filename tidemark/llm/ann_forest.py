@@ -209,7 +209,9 @@ def nearest(embeddings: DataFrame, every: int, k: int, sample: int = SAMPLE, tre
     forests = spark.sparkContext.broadcast(fit(rows, sample, trees, leaf, seed))
     schema = "n long, vec_id long, vector array<double>"
     index = stored(arrow_map(rows, _indexed(forests), f"{schema}, leaves array<int>"), "forest-index")
-    picked = valid.filter(f"vec_id % {every} = 0").repartition("n")
+    # a query's probes take far longer than its bytes suggest, so the number of tasks is set here
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    picked = valid.filter(f"vec_id % {every} = 0").repartition(tasks, "n")
     queries = stored(arrow_map(picked, _probed(forests, share), f"{schema}, wanted binary"), "probes")
     found = cells(index, queries, block_rows, block_queries).applyInArrow(
         _search(k), "query long, query_id long, vec_id long, score double"
