@@ -61,6 +61,19 @@ def test_products_in_many_blocks(spark):
     assert by_query(vafile.top_products(df, every=10, k=5, block_rows=37, block_queries=7)) == best_products(data, 10, 5)
 
 
+def test_zero_queries_do_not_reach_all_rows(spark, monkeypatch):
+    read = []
+    plain = vafile.exact_scores
+    monkeypatch.setattr(vafile, "exact_scores", lambda pairs, *a: read.append(pairs.count()) or plain(pairs, *a))
+    rng = np.random.default_rng(4)
+    data = [(i, [0.0] * 8 if i % 30 == 0 else rng.normal(size=8).tolist(), 0, "x", 1) for i in range(600)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert by_query(vafile.top_products(df, every=30, k=5)) == best_products(
+        [(i, [float(np.float32(x)) for x in v], *r) for i, v, *r in data], 30, 5
+    )
+    assert sum(read) == 20 * 5
+
+
 def test_products_beyond_doubles_and_longs(spark):
     rng = np.random.default_rng(2)
     data = [(i, [float(x) for x in rng.normal(size=6) * 10.0 ** rng.integers(5, 8)], 0, "x", 1) for i in range(120)]

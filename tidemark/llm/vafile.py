@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import vectors as V
@@ -44,24 +44,26 @@ def grid(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     found = found.groupBy("d", "i").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     out: dict[int, list] = {0: []}
     for d, _, lo, hi in found.orderBy("d", "i").collect():  # one row per component
-        out.setdefault(d, []).append((float(lo), max(1.0, (hi - lo + 1) / CELLS)))
+        out.setdefault(d, []).append((float(lo), float(-(-(hi - lo + 1) // CELLS))))  # whole widths
     return {d: (np.array([c[0] for c in cs]), np.array([c[1] for c in cs])) for d, cs in out.items()}
 
 
 def approximated(rows: DataFrame, sent) -> DataFrame:
-    """The approximation file: ``n`` and ``cells``, a byte per component."""
+    """The approximation file: ``n, vec_id`` and ``cells``, a byte per component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes: list = [b""] * batch.num_rows
-            for at, x in V.matrix(batch.column(1)):
+            for at, x in V.matrix(batch.column(2)):
                 lo, width = sent.value[x.shape[1]]
                 code = np.clip((x - lo) // width, 0, CELLS - 1).astype(np.uint8)
                 for i, row in zip(at.tolist(), code):
                     codes[i] = row.tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["n", "cells"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(codes, pa.binary())], names=["n", "vec_id", "cells"]
+            )
 
-    return arrow_map(rows.select("n", "vector"), run, "n long, cells binary")
+    return arrow_map(rows.select("n", "vec_id", "vector"), run, "n long, vec_id long, cells binary")
 
 
 def _bounds(file: pa.Table, queries: pa.Table, sent):
@@ -77,13 +79,13 @@ def _bounds(file: pa.Table, queries: pa.Table, sent):
             continue
         lo, width = sent.value[d]
         code = np.frombuffer(b"".join(codes[i] for i in places.tolist()), np.uint8).reshape(len(places), d)
-        middle = lo + (code + 0.5) * width
+        middle = lo + code * width + (width - 1) / 2  # between a cell's first and last whole number
         largest = np.abs(middle).max(axis=0)
         step = max(1, MATRIX // len(places))
         for s in range(0, len(at), step):
             part, qf = at[s : s + step], q[s : s + step].astype(float)
             # half a cell, and what rounding of floats can add
-            slack = np.abs(qf) @ (width * (0.5 + 1e-6)) + 1e-9 * (np.abs(qf) @ largest) + 1
+            slack = np.abs(qf) @ ((width - 1) / 2 + 1e-6 * (width > 1 << 20) * width) + 1e-9 * (np.abs(qf) @ largest)
             centre = qf @ middle.T
             centre[V.own_places(own[part], row_n[places])] = -np.inf
             yield part, places, centre, slack
@@ -106,17 +108,25 @@ def _floors(sent, k: int):
     return run
 
 
-def _reached(sent):
-    """Pairs of one cell whose upper bound reaches the query's floor."""
+def _reached(sent, k: int):
+    """Pairs of one cell whose upper bound reaches the query's floor.
+
+    Bounds without slack are the scores themselves, as those of a zero query, which all rows
+    reach: of such a query only the k pairs that come first in the result's order go on.
+    """
 
     def run(file: pa.Table, queries: pa.Table) -> pa.Table:
-        own, row_n = V.numbers(queries, "n"), V.numbers(file, "n")
+        own, row_n, row_id = V.numbers(queries, "n"), V.numbers(file, "n"), V.numbers(file, "vec_id")
         floor = queries.column("floor").to_numpy()
         out = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]]
         for part, places, centre, slack in _bounds(file, queries, sent):
             # scores beyond a long stop at its ends, so bounds do
             high = np.clip(centre + slack[:, None], BOTTOM, TOP)
-            i, j = np.nonzero((high >= floor[part][:, None]) & np.isfinite(centre))
+            reached = (high >= floor[part][:, None]) & np.isfinite(centre)
+            for i in np.flatnonzero(slack == 0):
+                j = np.flatnonzero(reached[i])
+                reached[i, j[np.lexsort((row_id[places[j]], -high[i, j]))[k:]]] = False
+            i, j = np.nonzero(reached)
             for o, values in zip(out, (own[part[i]], row_n[places[j]], high[i, j])):
                 o.append(values)
         return pa.table({c: np.concatenate(o) for c, o in zip(("query", "row", "high"), out)})
@@ -188,13 +198,16 @@ def top_products(embeddings: DataFrame, every: int, k: int, factor: int = 256, b
     )
     bounded = stored(bounded, "query-floors")
     reach = cells(file, bounded, block_rows, block_queries).applyInArrow(
-        _reached(sent), "query long, row long, high double"
+        _reached(sent, k), "query long, row long, high double"
     )
-    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("high"), "row"))
-    reach = stored(reach.withColumn("place", place), "reached")
-
-    first = stored(exact_scores(reach.filter(f"place <= {k}"), rows, queries, block_queries), "first-scores")
-    kth = first.groupBy("query").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("kth"))
-    rest = reach.filter(f"place > {k}").join(kth, "query").filter("high >= coalesce(kth, high)")
+    reach = stored(reach, "reached")
+
+    # no window over all pairs of a query: the first k are cut before the shuffle, the rest lie behind the kth
+    heads = stored(V.ranked(reach, k, F.desc("high"), "row"), "first-pairs")
+    first = stored(exact_scores(heads, rows, queries, block_queries), "first-scores")
+    kth = first.groupBy("query").agg(F.min("score").alias("kth"))
+    last = heads.filter(f"rank = {k}").select("query", F.col("high").alias("last_high"), F.col("row").alias("last_row"))
+    behind = "(high < last_high or (high = last_high and row > last_row)) and high >= kth"
+    rest = reach.join(last.join(kth, "query"), "query").filter(behind).select("query", "row")
     found = first.unionByName(exact_scores(rest, rows, queries, block_queries))
     return V.ranked(found, k, F.desc("score"), "vec_id").select("query_id", "rank", "vec_id", "score")
