@@ -1,6 +1,9 @@
+import math
+import struct
 import zlib
 from collections import Counter
 
+import xxhash
 from llm_cases import documents, empty, texts
 
 from tidemark.llm import licenses, sharding, url_filter
@@ -29,6 +32,25 @@ def test_sharding_law(spark):
     assert all(whole[r.doc_id] == (r.shard, r.grown_shard) for r in part)
 
 
+def plain_shard(key, weights):
+    """The shard of the highest ``-weight / ln(u)``, one key and shard at a time."""
+    scores = []
+    for shard, weight in weights:
+        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        digest = xxhash.xxh64_intdigest(struct.pack("<i", shard), seed)
+        u = (digest % (1 << 52) + 0.5) / (1 << 52)
+        scores.append((-weight / math.log(u), shard))
+    return max(scores)[1]
+
+
+def test_sharding_equals_a_plain_weighted_score(spark):
+    ids = [None, 0, -1, 7, (1 << 62) + 5, -(1 << 63)] + list(range(100, 700, 3))
+    for weights, added in ((WEIGHTS, (16, 1.0)), ([(3, 0.5), (9, 2.0), (4, 1.0)], (1, 3.5))):
+        got = sharding.shard_documents(documents(spark, ["t"] * len(ids), ids), weights, added=added).collect()
+        want = {(i, plain_shard(i, weights), plain_shard(i, [*weights, added])) for i in ids}
+        assert {(r.doc_id, r.shard, r.grown_shard) for r in got} == want
+
+
 def test_sharding_balance_weights_and_runs(spark, monkeypatch):
     monkeypatch.setattr(sharding, "RUN_ROWS", 7)
     monkeypatch.setattr(sharding, "GROUP_ROWS", 50)
