@@ -1,7 +1,10 @@
 """Words, counts, edit distance and the keys by which similar words meet."""
 
 import random
+import re
+import unicodedata
 from collections import Counter
+from itertools import combinations
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -131,3 +134,33 @@ def test_similar_words_share_a_key(spark):
     lost = df.join(near, "term").filter(~F.arrays_overlap(probes, "k"))
     assert rows(lost.select("word", "term")) == []
     assert near.agg(F.max(F.size("k"))).first()[0] <= 22
+
+
+def test_split_words_are_those_that_extraction_finds(spark):
+    """Texts without Han characters are split; every kind of character stands beside a letter, at both ends and alone."""
+    kinds = [chr(c) for c in range(1, 0x3000) if unicodedata.category(chr(c)) not in ("Cs", "Cn")]
+    texts = [f"{c}a{c}B7{c}{c} {c}" for c in kinds] + kinds + ["", " ", "a", "İİ ıI", "  two  words  ", "𝒳y 😀z\n\tq", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").filter(~F.coalesce(F.col("t"), F.lit("")).rlike(X.HAN_CHAR))
+    plain = F.regexp_extract_all(F.lower(F.translate("t", "İ", "i")), F.lit(X.WORD), F.lit(0))
+    bad = df.select("t", X.tokens(F.col("t")).alias("got"), plain.alias("want")).filter("NOT got <=> want")
+    assert bad.collect() == []
+
+
+def test_deletion_keys_are_all_ways_to_leave_letters_out(spark):
+    words = ["a", "ab", "aab", "abc", "aaaaaa", "abcdef", "abcabcabc", "éèêëö", "𝒳yz𝒳yz𝒳", "machinery", ""]
+    df = spark.createDataFrame([(w, e) for w in words for e in (0, 1, 2)], "w string, e int")
+    want = [
+        (w, e, "".join(k))
+        for w in words for e in (0, 1, 2) for n in range(e + 1)
+        for k in {tuple(w[i] if i < len(w) else "" for i in range(6) if i not in left) for left in combinations(range(6), n)}
+    ]
+    wanted = spark.createDataFrame(want, "w string, e int, k string").select("w", "e", F.hash("k").alias("k")).distinct()
+    got = df.select("w", "e", F.explode(X.deletion_keys(F.col("w"), F.col("e"))).alias("k"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_keys_of_words_are_no_method_too_long_to_compile(spark):
+    """The JVM interprets methods of over 8,000 bytes, however often they run."""
+    df = spark.createDataFrame([("machinery",)], "w string").select("w", F.explode(X.deletion_keys(F.col("w"), X.max_edits(F.col("w")))))
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    assert all(int(n) <= 8000 for n in re.findall(r"maxMethodCodeSize:(\d+)", plan))
